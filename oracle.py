@@ -110,7 +110,7 @@ def _star(query: str) -> str:
     return _with(STAR_TABLES, "\n" + query)
 
 
-def _lists(source: str, keys: str, item: str, name: str, max_items=10_000, share=1 / 4096, floor=100_000) -> str:
+def _lists(source: str, keys: str, item: str, name: str, max_items=10_000, floor=100_000) -> str:
     """Lists in parts, with the hot keys spread over salts."""
     on = " AND ".join(f"s.{key} = k.{key}" for key in keys.split(", "))
     of_k = ", ".join(f"k.{key}" for key in keys.split(", "))
@@ -122,10 +122,12 @@ def _lists(source: str, keys: str, item: str, name: str, max_items=10_000, share
         FROM (SELECT *, (row_number() OVER (PARTITION BY {keys}, salt ORDER BY {item}) - 1) // {max_items} AS chunk
               FROM (SELECT {of_k}, k.{item}, k.n, s.salts, {_hash(f'k.{item}')} % s.salts AS salt
                     FROM {source} k
-                    JOIN (SELECT {keys}, CASE WHEN size > quota THEN CAST(ceil(size / quota) AS BIGINT) ELSE 1 END AS salts
-                          FROM (SELECT {keys}, CAST(sum(n) AS DOUBLE) AS size FROM {source} GROUP BY {keys}),
-                               (SELECT greatest({floor}, sum(n) * CAST({share} AS DOUBLE)) AS quota FROM {source})
-                         ) s ON {on}))
+                    JOIN (SELECT {keys}, CASE WHEN size > {floor} AND place <= 4096
+                                              THEN least(CAST(ceil(size / {floor}) AS BIGINT), 4096)
+                                              ELSE 1 END AS salts
+                          FROM (SELECT {keys}, CAST(sum(n) AS DOUBLE) AS size,
+                                       row_number() OVER (ORDER BY sum(n) DESC, {keys}) AS place
+                                FROM {source} GROUP BY {keys})) s ON {on}))
         GROUP BY {keys}, salt, salts, chunk"""
 
 
@@ -222,6 +224,7 @@ def oracle_queries() -> dict[str, str]:
         "network_topics_published": _events(_network("counts", "edges", user, c.START, c.END)),
         "topic_users": _events(first),
         "topic_users_star": _star(_first("counts", c.STAR_TOPIC, c.STAR_START, c.STAR_END)),
+        "topic_users_published": _events(first),
         "network_topic_users": _events(_first("counts", c.TOPIC, c.START, c.TOPIC_END, network)),
         "topic_user_links": _events(f"SELECT usr, 'https://github.com/' || usr AS link FROM ({first})"),
         "popular_users": _events(

@@ -54,20 +54,17 @@ def follow_edges(activity: DataFrame, index: DataFrame) -> DataFrame:
     """Five different entries of the index drawn for every activity: ``event_id, usr, follow``.
 
     The draws are a first position and a step, both hashed from the activity's id. The step is
-    small enough that five positions never meet. With a user index the five are different users;
-    a user may draw himself.
+    small enough that five positions never meet. With a user index the five are different users,
+    and the activity's own user may be among them.
     """
     size = index.count()
     if size < DRAWS:
         raise ValueError(f"cannot draw {DRAWS} of {size} users")
     first = hash32(F.concat(F.lit("s"), F.col("event_id").cast("string")))
     step = hash32(F.concat(F.lit("p"), F.col("event_id").cast("string"))) % ((size - 1) // 4) + 1
-    draws = (
-        activity.select("event_id", "usr", first.alias("first"), step.alias("step"))
-        .withColumn(
-            "idx", F.explode(F.array(*[(F.col("first") + i * F.col("step")) % size for i in range(DRAWS)]))
-        )
-        .drop("first", "step")
+    positions = [(F.col("first") + i * F.col("step")) % size for i in range(DRAWS)]
+    draws = activity.select("event_id", "usr", first.alias("first"), step.alias("step")).select(
+        "event_id", "usr", F.explode(F.array(*positions)).alias("idx")
     )
     return draws.join(index.withColumnRenamed("usr", "follow"), "idx").drop("idx")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from topicloom.functions.text import hash32
-from topicloom.operators.skew import HOT_FLOOR, HOT_SHARE, hot_keys
+from topicloom.operators.skew import HOT_FLOOR, hot_keys
 
 MAX_ITEMS = 10_000
 
@@ -20,7 +20,6 @@ def bounded_lists(
     item: str,
     name: str,
     max_items: int = MAX_ITEMS,
-    share: float = HOT_SHARE,
     floor: int = HOT_FLOOR,
 ) -> DataFrame:
     """Lists per key from rows ``keys, item, n`` that hold each item of a key once.
@@ -29,7 +28,8 @@ def bounded_lists(
     ``n`` is the size of the bag. No array is longer than ``max_items``: longer lists continue
     in further parts, and the items of a hot key are first spread over tasks by a hash.
     """
-    hot = F.broadcast(hot_keys(counted, keys, F.col("n"), share, floor))
+    counted = counted.na.drop(subset=list(keys))
+    hot = F.broadcast(hot_keys(counted, keys, F.col("n"), floor))
     salts = F.coalesce(F.col("salts"), F.lit(1))
     # Only the items of hot keys are hashed.
     salt = F.when(salts > 1, hash32(F.col(item)) % salts).otherwise(F.lit(0))

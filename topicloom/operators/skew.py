@@ -7,31 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above this share of all rows, so there are fewer than 4096 hot keys whatever the
-# data: few enough to broadcast. Below the floor a key is no trouble, whatever its share.
-HOT_SHARE = 1 / 4096
+# Only the 4096 largest keys are looked after: any other key holds less than 1/4096 of the rows.
+# That also bounds what is broadcast, whatever the data.
+HOT_KEYS = 4096
+# Rows of a key that one task takes without trouble, and the most pieces a key is cut into.
 HOT_FLOOR = 100_000
+MAX_SALTS = 4096
 
 
 def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    weight: Column | None = None,
-    share: float = HOT_SHARE,
-    floor: int = HOT_FLOOR,
+    df: DataFrame, keys: Sequence[str], weight: Column | None = None, floor: int = HOT_FLOOR
 ) -> DataFrame:
-    """Hot keys and the number of salts that brings each piece below the limit.
+    """Hot keys and the number of salts to spread each over: at most ``HOT_KEYS`` small rows.
 
     The count combines on the map side, so a hot key costs no task more than another. Which
-    keys are hot steers only where rows go, never what comes out.
+    keys are hot steers only where rows go; every row of every key stays.
     """
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    sizes = df.groupBy(*keys).agg(size.alias("size"))
-    share_of_all = sizes.agg((F.sum("size") * F.lit(share)).alias("quota")).scalar()
+    pieces = F.ceil(F.col("size") / F.lit(floor)).cast("bigint")
     return (
-        sizes.withColumn("quota", F.greatest(F.lit(float(floor)), share_of_all))
-        .where(F.col("size") > F.col("quota"))
-        .select(*keys, F.ceil(F.col("size") / F.col("quota")).cast("bigint").alias("salts"))
+        df.groupBy(*keys)
+        .agg(size.alias("size"))
+        .where(F.col("size") > floor)
+        .orderBy(F.desc("size"), *keys)
+        .limit(HOT_KEYS)
+        .select(*keys, F.least(pieces, F.lit(MAX_SALTS)).alias("salts"))
     )
 
 
@@ -40,20 +40,25 @@ def skew_join(
     right: DataFrame,
     key: str,
     weight: Column | None = None,
-    share: float = HOT_SHARE,
     floor: int = HOT_FLOOR,
+    fan_out: bool = False,
 ) -> DataFrame:
     """Inner equi-join that spreads the hot keys of the left side over many tasks.
 
     Rows of a hot key are salted by a hash of the whole row, and the right rows of that key are
     repeated once per salt. Each left row meets each of its right rows exactly once. ``weight``
-    is a column to sum when the left side is already counted.
+    is a column to sum when the left side is already counted. ``fan_out`` says that a left row
+    meets many right rows: all shuffle partitions are then kept, where Spark would merge those
+    that are small before the join.
     """
     left = left.where(F.col(key).isNotNull())
-    hot = F.broadcast(hot_keys(left, [key], weight, share, floor))
+    hot = F.broadcast(hot_keys(left, [key], weight, floor))
     salts = F.coalesce(F.col("salts"), F.lit(1))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     spread = left.join(hot, key, "left").withColumn("salt", F.pmod(row_hash, salts)).drop("salts")
+    if fan_out:
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = spread.repartition(partitions, key, "salt")
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
     repeated = right.join(hot, key, "left").withColumn("salt", copies).drop("salts")
     return spread.join(repeated, [key, "salt"]).drop("salt")

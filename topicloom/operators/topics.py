@@ -49,17 +49,19 @@ def user_repo_counts(activity: DataFrame) -> DataFrame:
     )
 
 
-def user_topic_counts(activity: DataFrame, repo_topics: DataFrame) -> DataFrame:
+def user_topic_counts(
+    activity: DataFrame, repo_topics: DataFrame, many_topics: bool = False
+) -> DataFrame:
     """``usr, day, topic, n``: how often each row occurs in the bag of ``user_topic_bag``.
 
     Both sides are counted before they are joined. A repository with many activities and many
     topic rows then joins a few counted rows instead of every row with every other.
+    ``many_topics`` is for relations with tens of topics per repository.
     """
-    topics = repo_topics.groupBy("repo", "topic").agg(F.count(F.lit(1)).alias("weight"))
-    joined = skew_join(user_repo_counts(activity), topics, "repo", weight=F.col("n"))
-    return joined.groupBy("usr", "day", "topic").agg(
-        F.sum(F.col("n") * F.col("weight")).alias("n")
-    )
+    topics = repo_topics.groupBy("repo", "topic").agg(F.count(F.lit(1)).alias("rows"))
+    counts = user_repo_counts(activity)
+    joined = skew_join(counts, topics, "repo", weight=F.col("n"), fan_out=many_topics)
+    return joined.groupBy("usr", "day", "topic").agg(F.sum(F.col("n") * F.col("rows")).alias("n"))
 
 
 def user_topic_day(counts: DataFrame, **limits) -> DataFrame:

@@ -1,14 +1,17 @@
-"""The daily job: from event files to the three published tables.
+r"""The daily job: from event files to the three published tables.
 
     spark-submit --py-files topicloom.zip topicloom/plans/daily.py \
-        --events 's3a://bucket/2018/2018-01-*.json.gz' --out s3a://bucket/tables --run 20180131
+        --events 's3a://<bucket>/2018/2018-01-*.json.gz' --first 2018-01-01 --last 2018-01-31 \
+        --out s3a://<bucket>/tables --run 201801
 """
 
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from topicloom.operators import follows, topics
 from topicloom.operators.clean import clean_events, user_repo
@@ -17,40 +20,39 @@ from topicloom.sources.events import read_events
 from topicloom.sources.tables import publish_days, publish_latest
 
 
-def land_activity(raw: DataFrame, out: str, whole_days: bool = True) -> DataFrame:
-    """Clean activity of the run's events, written once by day; later steps read its columns.
-
-    Returns the days of this run only.
-    """
-    activity = user_repo(clean_events(raw))
-    publish_days(activity, f"{out}/activity", "usr", whole_days)
-    landed = raw.sparkSession.read.parquet(f"{out}/activity")
-    return landed.join(activity.select("day").distinct(), "day", "left_semi")
-
-
-def run_day(
+def run_days(
     spark: SparkSession,
     globs: list[str],
     out: str,
+    first: date,
+    last: date,
     run: int,
     repo_topics: DataFrame | None = None,
     id_field: str = "event_id",
 ) -> None:
-    """Read, clean and land the events, then publish useruser, usertopic and topicuser.
+    """Read, clean and land the events of some days, then publish the three tables.
 
-    The files of a run hold whole days. ``repo_topics`` is the relation ``repo, topic``; without
-    one it is simulated.
+    The files hold those days whole; events of other days in them are left out. The event files
+    are read once: every later step reads the landed table, of which it needs a few columns and
+    only the folders of these days. ``repo_topics`` is the relation ``repo, topic``; without one
+    it is simulated.
     """
+    covered = F.col("day").between(F.lit(first), F.lit(last))
+
+    def of_these_days(table: str) -> DataFrame:
+        return spark.read.parquet(f"{out}/{table}").where(covered)
+
     raw = read_events(spark, *globs, id_field=id_field)
-    activity = land_activity(raw, out)
+    publish_days(user_repo(clean_events(raw)).where(covered), f"{out}/activity", "usr")
+    activity = of_these_days("activity")
     if repo_topics is None:
         repo_topics = topics.repo_topic(activity)
+
     publish_days(topics.user_topic_counts(activity, repo_topics), f"{out}/counts", "usr")
-    counts = spark.read.parquet(f"{out}/counts").join(
-        activity.select("day").distinct(), "day", "left_semi"
-    )
+    counts = of_these_days("counts")
     publish_days(topics.user_topic_day(counts), f"{out}/usertopic", "usr")
     publish_days(topics.topic_user_day(counts), f"{out}/topicuser", "topic")
+
     edges = follows.follow_edges(activity, follows.user_index(activity))
     publish_latest(follows.user_user(edges), f"{out}/useruser", "usr", run)
 
@@ -59,13 +61,17 @@ def main() -> None:
     parser = argparse.ArgumentParser()
     parser.add_argument("--events", nargs="+", required=True, help="globs of event files")
     parser.add_argument("--out", required=True, help="folder of the published tables")
+    parser.add_argument("--first", type=date.fromisoformat, required=True, help="first day")
+    parser.add_argument("--last", type=date.fromisoformat, required=True, help="last day")
     parser.add_argument("--run", type=int, required=True, help="number of the run; newer is higher")
     parser.add_argument("--repo-topics", help="Parquet table repo, topic")
     parser.add_argument("--id-field", default="id", help="name of the unique id in the files")
     args = parser.parse_args()
     spark = build_session("topicloom daily")
     given = spark.read.parquet(args.repo_topics) if args.repo_topics else None
-    run_day(spark, args.events, args.out, args.run, given, args.id_field)
+    run_days(
+        spark, args.events, args.out, args.first, args.last, args.run, given, args.id_field
+    )
 
 
 if __name__ == "__main__":

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.session import saved
+
 
 def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at a path, or None where nothing has been written yet."""
@@ -26,6 +28,7 @@ def publish_days(df: DataFrame, path: str, key: str, whole_days: bool = True) ->
     if not whole_days:
         stored = table_or_none(df.sparkSession, path)
         if stored is not None:
+            df = saved(df, "run")  # read three times below
             touched = df.select("day").distinct()
             kept = stored.join(touched, "day", "left_semi").join(
                 df.select(key, "day").distinct(), [key, "day"], "left_anti"
@@ -51,6 +54,7 @@ def publish_latest(df: DataFrame, path: str, key: str, run: int) -> None:
     """
     stored = table_or_none(df.sparkSession, path)
     if stored is not None:
+        df = saved(df, "run")  # read twice below
         earlier = _latest(stored.where(F.col("run") < run))
         df = df.unionByName(earlier.join(df.select(key).distinct(), key, "left_anti"))
     (
