@@ -89,6 +89,7 @@ STAR_TABLES = {
     "bag": "SELECT usr, day, p_type AS topic FROM activity JOIN part ON repo = p_partkey",
     "brand_bag": "SELECT usr, day, p_brand AS topic FROM activity JOIN part ON repo = p_partkey",
     "counts": "SELECT usr, day, topic, count(*) AS n FROM bag GROUP BY usr, day, topic",
+    "brand_counts": "SELECT usr, day, topic, count(*) AS n FROM brand_bag GROUP BY usr, day, topic",
     "repo_counts": "SELECT usr, day, repo, count(*) AS n FROM activity GROUP BY usr, day, repo",
     "star_orders": "SELECT o_orderkey AS event_id, o_custkey AS usr FROM orders",
     "users": """
@@ -203,6 +204,7 @@ def oracle_queries() -> dict[str, str]:
         "topic_user_day": _events(user_lists),
         "topic_user_day_parts": _events(_lists("counts", "topic, day", "usr", "users", **small)),
         "topic_user_day_star": _star(user_lists),
+        "topic_user_day_brand_star": _star(_lists("brand_counts", "topic, day", "usr", "users")),
         "user_repo_day": _events(repo_lists),
         "user_repo_day_star": _star(repo_lists),
         "user_index": _events("SELECT * FROM users"),

@@ -134,8 +134,8 @@ def test_counts_equal_counted_bag(activity, coded):
         (clean.user_repo(coded), topics.repo_topic_coded(coded)),
     ):
         bag = Counter(tuple(r) for r in topics.user_topic_bag(rows, repo_topics).collect())
-        for many_topics in (False, True):
-            counts = topics.user_topic_counts(rows, repo_topics, many_topics).collect()
+        for count_first in (False, True):
+            counts = topics.user_topic_counts(rows, repo_topics, count_first).collect()
             assert {(r.usr, r.day, r.topic): r.n for r in counts} == bag
 
 

@@ -5,9 +5,9 @@ from contextlib import redirect_stdout
 
 import pytest
 
+from topicloom.operators.topics import user_topic_counts
 from topicloom.plans.catalog import catalog
 from topicloom.sources.testdata import star_activity, star_topics
-from topicloom.operators.topics import user_topic_counts
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = catalog()
@@ -28,7 +28,8 @@ def test_no_cross_join_and_no_python(spark, name):
 
 
 def test_scan_reads_only_needed_columns(spark):
-    plan = explained(user_topic_counts(star_activity(spark, SF_DIR), star_topics(spark, SF_DIR, "p_type")))
+    activity, repo_topics = star_activity(spark, SF_DIR), star_topics(spark, SF_DIR, "p_type")
+    plan = explained(user_topic_counts(activity, repo_topics, count_first=True))
     schemas = {line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema" in line}
     assert schemas == {
         "struct<l_orderkey:bigint,l_partkey:bigint>",

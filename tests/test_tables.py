@@ -1,6 +1,7 @@
 """Readers, writers, the daily job."""
 
 import glob
+from collections import Counter
 from datetime import date
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from topicloom.operators import topics
 from topicloom.operators.clean import clean_events, flat_events, user_repo
 from topicloom.operators.lists import unnest
+from topicloom.plans import lookup
 from topicloom.plans.daily import run_days
 from topicloom.session import scratch_path
 from topicloom.sources.events import read_events
@@ -134,6 +136,32 @@ def test_daily_job_publishes_follows(spark, daily):
     assert all(published[usr] == n for usr, n in per_user.items())
 
 
+def test_lookups_over_published_tables(spark, daily):
+    _, out = daily
+    window = ("Tue Jan 02 2024", "Sat Jan 20 2024")
+    edges = unnest(read_latest(spark, f"{out}/useruser"), "follows", "follow")
+    followed = {r.follow for r in edges.where("usr = 'u8'").collect()}
+    counts = spark.read.parquet(f"{out}/counts").where("day > '2024-01-02' AND day < '2024-01-20'").collect()
+    found = lookup.topics_of_network(spark, out, "u8", *window).collect()
+    assert {r.topic for r in found} == {r.topic for r in counts if r.usr in followed}
+    assert len(found) == len({r.topic for r in found}) > 0
+    topic = Counter(r.topic for r in counts).most_common(1)[0][0]
+    for user, allowed in ((None, None), ("u8", followed)):
+        first = {}
+        for r in counts:
+            if r.topic == topic and (allowed is None or r.usr in allowed):
+                first[r.usr] = min(r.day, first.get(r.usr, r.day))
+        expected = sorted(first, key=lambda usr: (first[usr], usr))[:5]
+        rows_found = lookup.users_of_topic(spark, out, topic, *window, user=user).collect()
+        assert [r.usr for r in rows_found] == expected
+        assert [r.link for r in rows_found] == [f"https://github.com/{usr}" for usr in expected]
+
+
+def test_bad_request_date():
+    with pytest.raises(ValueError):
+        lookup.request_day("2024-01-02")
+
+
 def test_lookup_reads_only_the_days_and_rows_asked_for(spark, daily):
     _, out = daily
     rows_of_day = unnest(spark.read.parquet(f"{out}/topicuser"), "users", "usr").where(

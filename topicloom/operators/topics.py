@@ -50,18 +50,25 @@ def user_repo_counts(activity: DataFrame) -> DataFrame:
 
 
 def user_topic_counts(
-    activity: DataFrame, repo_topics: DataFrame, many_topics: bool = False
+    activity: DataFrame, repo_topics: DataFrame, count_first: bool = False
 ) -> DataFrame:
     """``usr, day, topic, n``: how often each row occurs in the bag of ``user_topic_bag``.
 
-    Both sides are counted before they are joined. A repository with many activities and many
-    topic rows then joins a few counted rows instead of every row with every other.
-    ``many_topics`` is for relations with tens of topics per repository.
+    The topic rows are counted before the join, so a repository with many activities and many
+    topic rows never joins every row with every other. ``count_first`` counts the activity as
+    well. That is one shuffle more, and pays where a repository has tens of topics, or where the
+    activity is no stored table: it is then computed once instead of a second time for its hot
+    repositories.
     """
     topics = repo_topics.groupBy("repo", "topic").agg(F.count(F.lit(1)).alias("rows"))
-    counts = user_repo_counts(activity)
-    joined = skew_join(counts, topics, "repo", weight=F.col("n"), fan_out=many_topics)
-    return joined.groupBy("usr", "day", "topic").agg(F.sum(F.col("n") * F.col("rows")).alias("n"))
+    if count_first:
+        counts = user_repo_counts(activity)
+        joined = skew_join(counts, topics, "repo", weight=F.col("n"), fan_out=True)
+        n = F.sum(F.col("n") * F.col("rows"))
+    else:
+        joined = skew_join(activity, topics, "repo")
+        n = F.sum("rows")
+    return joined.groupBy("usr", "day", "topic").agg(n.alias("n"))
 
 
 def user_topic_day(counts: DataFrame, **limits) -> DataFrame:

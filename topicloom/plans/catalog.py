@@ -67,14 +67,14 @@ def _counts(spark: SparkSession, sf_dir: str, start: date | None = None, end: da
     repo_topics = topics.repo_topic(activity)
     if start and end:
         activity = activity.where(in_window(F.col("day"), start, end))
-    return topics.user_topic_counts(activity, repo_topics)
+    return topics.user_topic_counts(activity, repo_topics, count_first=True)
 
 
 def _star_counts(spark: SparkSession, sf_dir: str, start: date | None = None, end: date | None = None) -> DataFrame:
     activity = star_activity(spark, sf_dir)
     if start and end:
         activity = activity.where(in_window(F.col("day"), start, end))
-    return topics.user_topic_counts(activity, star_topics(spark, sf_dir, "p_type"))
+    return topics.user_topic_counts(activity, star_topics(spark, sf_dir, "p_type"), count_first=True)
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +123,7 @@ def network_topics_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     activity = clean.user_repo(events)
     edges = follows.follow_edges(activity, follows.user_index(activity))
     within = activity.where(in_window(F.col("day"), START, END))
-    counts = topics.user_topic_counts(within, topics.repo_topic_coded(events), many_topics=True)
+    counts = topics.user_topic_counts(within, topics.repo_topic_coded(events), count_first=True)
     return serve.network_topics(counts, serve.user_follows(edges, USER), START, END)
 
 
@@ -216,7 +216,7 @@ def catalog() -> dict[str, Query]:
         "user_topic_bag": lambda s, d: topics.user_topic_bag(_activity(s, d), topics.repo_topic(_activity(s, d))),
         "user_topic_star": lambda s, d: topics.user_topic_bag(star_activity(s, d), star_topics(s, d, "p_brand")),
         "user_topic_counts": lambda s, d: topics.user_topic_counts(
-            clean.user_repo(_coded_events(s, d)), topics.repo_topic_coded(_coded_events(s, d)), many_topics=True
+            clean.user_repo(_coded_events(s, d)), topics.repo_topic_coded(_coded_events(s, d)), count_first=True
         ),
         "user_topic_counts_clean": _counts,
         "user_topic_counts_star": _star_counts,
@@ -225,6 +225,12 @@ def catalog() -> dict[str, Query]:
         "topic_user_day": lambda s, d: _text(topics.topic_user_day(_counts(s, d)), "users"),
         "topic_user_day_parts": lambda s, d: _text(topics.topic_user_day(_counts(s, d), **SMALL), "users"),
         "topic_user_day_star": lambda s, d: _text(topics.topic_user_day(_star_counts(s, d)), "users"),
+        "topic_user_day_brand_star": lambda s, d: _text(
+            topics.topic_user_day(
+                topics.user_topic_counts(star_activity(s, d), star_topics(s, d, "p_brand"), count_first=True)
+            ),
+            "users",
+        ),
         "user_repo_day": lambda s, d: _text(topics.user_repo_day(_activity(s, d)), "repos"),
         "user_repo_day_star": lambda s, d: _text(topics.user_repo_day(star_activity(s, d)), "repos"),
         "user_index": lambda s, d: follows.user_index(_activity(s, d)),
