@@ -200,9 +200,11 @@ def oracle_queries() -> dict[str, str]:
         "user_topic_counts_clean": _events("SELECT * FROM counts"),
         "user_topic_counts_star": _star("SELECT * FROM counts"),
         "user_topic_day": _events(topic_lists),
+        "user_topic_day_coded": _events(_lists("counts_coded", "usr, day", "topic", "topics")),
         "user_topic_day_star": _star(topic_lists),
         "topic_user_day": _events(user_lists),
         "topic_user_day_parts": _events(_lists("counts", "topic, day", "usr", "users", **small)),
+        "topic_user_day_coded": _events(_lists("counts_coded", "topic, day", "usr", "users")),
         "topic_user_day_star": _star(user_lists),
         "topic_user_day_brand_star": _star(_lists("brand_counts", "topic, day", "usr", "users")),
         "user_repo_day": _events(repo_lists),
@@ -211,6 +213,7 @@ def oracle_queries() -> dict[str, str]:
         "follow_edges": _events("SELECT * FROM edges"),
         "follow_edges_coded": _events("SELECT * FROM edges_coded"),
         "user_user": _events(follow_lists),
+        "user_user_coded": _events(follow_lists.replace("FROM edges", "FROM edges_coded")),
         "user_user_star": _star(follow_lists),
         "user_follows": _events(f"SELECT DISTINCT follow FROM edges WHERE usr = {user}"),
         "window_bounds": _events(

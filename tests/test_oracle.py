@@ -9,10 +9,15 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIRS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
+TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DATE": "date", "DOUBLE": "double"}
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
 
 
+# With 15 users nobody has that many followers, and nobody followed has the topic.
+EMPTY = {("popular_users", "sf0.001"), ("network_topic_users", "sf0.001")}
+
+
 @pytest.fixture(scope="module", params=SF_DIRS, ids=lambda p: Path(p).name)
 def scale(request):
     con = duckdb.connect()
@@ -34,7 +39,8 @@ def test_query_equals_sql(spark, scale, name):
     rows = Counter(tuple(row[c] for c in names) for row in result.collect())
     table = con.execute(ORACLE[name])
     columns = [d[0] for d in table.description]
-    assert sorted(columns) == names
+    types = {d[0]: TYPES[str(d[1])] for d in table.description}
+    assert types == dict(result.dtypes)
     order = [columns.index(c) for c in names]
     assert rows == Counter(tuple(row[i] for i in order) for row in table.fetchall())
-    assert rows or name in ("popular_users", "network_topic_users")
+    assert rows or (name, Path(sf_dir).name) in EMPTY

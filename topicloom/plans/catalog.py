@@ -37,9 +37,9 @@ STAR_START, STAR_END = date(1997, 1, 1), date(1997, 7, 1)
 SMALL = {"max_items": 4, "floor": 8}
 
 
-def _text(df: DataFrame, *lists: str) -> DataFrame:
-    joined = {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in (*lists, "counts")}
-    return df.withColumns(joined)
+def _text(lists: DataFrame, name: str) -> DataFrame:
+    joined = {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in (name, "counts")}
+    return lists.withColumns(joined)
 
 
 def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,9 @@ def _star_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return follows.follow_edges(orders, follows.user_index(orders))
 
 
-def _counts(spark: SparkSession, sf_dir: str, start: date | None = None, end: date | None = None) -> DataFrame:
+def _counts(
+    spark: SparkSession, sf_dir: str, start: date | None = None, end: date | None = None
+) -> DataFrame:
     activity = _activity(spark, sf_dir)
     # The relation between repositories and topics comes from all activity, the rest from the
     # days asked for.
@@ -70,11 +72,30 @@ def _counts(spark: SparkSession, sf_dir: str, start: date | None = None, end: da
     return topics.user_topic_counts(activity, repo_topics, count_first=True)
 
 
-def _star_counts(spark: SparkSession, sf_dir: str, start: date | None = None, end: date | None = None) -> DataFrame:
+def _star_counts(
+    spark: SparkSession, sf_dir: str, start: date | None = None, end: date | None = None
+) -> DataFrame:
     activity = star_activity(spark, sf_dir)
     if start and end:
         activity = activity.where(in_window(F.col("day"), start, end))
-    return topics.user_topic_counts(activity, star_topics(spark, sf_dir, "p_type"), count_first=True)
+    types = star_topics(spark, sf_dir, "p_type")
+    return topics.user_topic_counts(activity, types, count_first=True)
+
+
+def _coded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _coded_events(spark, sf_dir)
+    repo_topics = topics.repo_topic_coded(events)
+    return topics.user_topic_counts(clean.user_repo(events), repo_topics, count_first=True)
+
+
+def _coded_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    activity = clean.user_repo(_coded_events(spark, sf_dir))
+    return follows.follow_edges(activity, follows.activity_index(activity))
+
+
+def _brand_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    brands = star_topics(spark, sf_dir, "p_brand")
+    return topics.user_topic_counts(star_activity(spark, sf_dir), brands, count_first=True)
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +111,8 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_vocabulary_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each topic of the vocabulary with the number of repositories that have it."""
-    used = topics.repo_topic(_activity(spark, sf_dir)).groupBy("topic").agg(F.count("repo").alias("n"))
+    repo_topics = topics.repo_topic(_activity(spark, sf_dir))
+    used = repo_topics.groupBy("topic").agg(F.count("repo").alias("n"))
     # The vocabulary has 177 rows and ``used`` at most as many.
     return (
         topic_vocabulary(spark)
@@ -198,49 +220,66 @@ def publish_topic_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog() -> dict[str, Query]:
-    return {
+    events = {
         "load_events": load_events,
         "topic_vocabulary": topic_vocabulary_use,
-        "filter_event_types": lambda s, d: clean.filter_event_types(raw_events(s, d)).select("event_id", "type"),
-        "clean_events": lambda s, d: clean.clean_events(raw_events(s, d)),
-        "clean_events_sql": lambda s, d: clean.clean_events_sql(raw_events(s, d)),
+        "filter_event_types": lambda spark, sf_dir: clean.filter_event_types(
+            raw_events(spark, sf_dir)
+        ).select("event_id", "type"),
+        "clean_events": lambda spark, sf_dir: clean.clean_events(raw_events(spark, sf_dir)),
+        "clean_events_sql": lambda spark, sf_dir: clean.clean_events_sql(raw_events(spark, sf_dir)),
         "clean_events_coded": _coded_events,
         "event_day": days_of_events,
-        "null_profile": lambda s, d: clean.null_profile(raw_events(s, d)),
-        "user_repo": lambda s, d: _activity(s, d).select("usr", "repo", "day"),
-        "user_repo_coded": lambda s, d: clean.user_repo(_coded_events(s, d)).select("usr", "repo", "day"),
-        "user_repo_star": lambda s, d: star_activity(s, d).select("usr", "repo", "day"),
-        "repo_topic": lambda s, d: topics.repo_topic(_activity(s, d)),
-        "repo_topic_coded": lambda s, d: topics.repo_topic_coded(_coded_events(s, d)),
-        "repo_topic_first": lambda s, d: topics.one_topic_per_repo(topics.repo_topic_coded(_coded_events(s, d))),
-        "user_topic_bag": lambda s, d: topics.user_topic_bag(_activity(s, d), topics.repo_topic(_activity(s, d))),
-        "user_topic_star": lambda s, d: topics.user_topic_bag(star_activity(s, d), star_topics(s, d, "p_brand")),
-        "user_topic_counts": lambda s, d: topics.user_topic_counts(
-            clean.user_repo(_coded_events(s, d)), topics.repo_topic_coded(_coded_events(s, d)), count_first=True
+        "null_profile": lambda spark, sf_dir: clean.null_profile(raw_events(spark, sf_dir)),
+    }
+    relations = {
+        "user_repo": lambda spark, sf_dir: _activity(spark, sf_dir).drop("event_id"),
+        "user_repo_coded": lambda spark, sf_dir: clean.user_repo(
+            _coded_events(spark, sf_dir)
+        ).drop("event_id"),
+        "user_repo_star": lambda spark, sf_dir: star_activity(spark, sf_dir).drop("event_id"),
+        "repo_topic": lambda spark, sf_dir: topics.repo_topic(_activity(spark, sf_dir)),
+        "repo_topic_coded": lambda spark, sf_dir: topics.repo_topic_coded(
+            _coded_events(spark, sf_dir)
         ),
+        "repo_topic_first": lambda spark, sf_dir: topics.one_topic_per_repo(
+            topics.repo_topic_coded(_coded_events(spark, sf_dir))
+        ),
+        "user_topic_bag": lambda spark, sf_dir: topics.user_topic_bag(
+            _activity(spark, sf_dir), topics.repo_topic(_activity(spark, sf_dir))
+        ),
+        "user_topic_star": lambda spark, sf_dir: topics.user_topic_bag(
+            star_activity(spark, sf_dir), star_topics(spark, sf_dir, "p_brand")
+        ),
+        "user_topic_counts": _coded_counts,
         "user_topic_counts_clean": _counts,
         "user_topic_counts_star": _star_counts,
-        "user_topic_day": lambda s, d: _text(topics.user_topic_day(_counts(s, d)), "topics"),
-        "user_topic_day_star": lambda s, d: _text(topics.user_topic_day(_star_counts(s, d)), "topics"),
-        "topic_user_day": lambda s, d: _text(topics.topic_user_day(_counts(s, d)), "users"),
-        "topic_user_day_parts": lambda s, d: _text(topics.topic_user_day(_counts(s, d), **SMALL), "users"),
-        "topic_user_day_star": lambda s, d: _text(topics.topic_user_day(_star_counts(s, d)), "users"),
-        "topic_user_day_brand_star": lambda s, d: _text(
-            topics.topic_user_day(
-                topics.user_topic_counts(star_activity(s, d), star_topics(s, d, "p_brand"), count_first=True)
-            ),
-            "users",
-        ),
-        "user_repo_day": lambda s, d: _text(topics.user_repo_day(_activity(s, d)), "repos"),
-        "user_repo_day_star": lambda s, d: _text(topics.user_repo_day(star_activity(s, d)), "repos"),
-        "user_index": lambda s, d: follows.user_index(_activity(s, d)),
+        "user_index": lambda spark, sf_dir: follows.user_index(_activity(spark, sf_dir)),
         "follow_edges": _edges,
-        "follow_edges_coded": lambda s, d: follows.follow_edges(
-            clean.user_repo(_coded_events(s, d)), follows.activity_index(clean.user_repo(_coded_events(s, d)))
+        "follow_edges_coded": _coded_edges,
+        "popular_users": lambda spark, sf_dir: follows.popular_users(
+            _edges(spark, sf_dir), MORE_THAN
         ),
-        "user_user": lambda s, d: _text(follows.user_user(_edges(s, d)), "follows"),
-        "user_user_star": lambda s, d: _text(follows.user_user(_star_edges(s, d)), "follows"),
-        "user_follows": lambda s, d: serve.user_follows(_edges(s, d), USER),
+    }
+    # Column of the lists, and the lists.
+    lists = {
+        "user_topic_day": ("topics", lambda s, d: topics.user_topic_day(_counts(s, d))),
+        "user_topic_day_coded": ("topics", lambda s, d: topics.user_topic_day(_coded_counts(s, d))),
+        "user_topic_day_star": ("topics", lambda s, d: topics.user_topic_day(_star_counts(s, d))),
+        "topic_user_day": ("users", lambda s, d: topics.topic_user_day(_counts(s, d))),
+        "topic_user_day_parts": ("users", lambda s, d: topics.topic_user_day(_counts(s, d), **SMALL)),
+        "topic_user_day_coded": ("users", lambda s, d: topics.topic_user_day(_coded_counts(s, d))),
+        "topic_user_day_star": ("users", lambda s, d: topics.topic_user_day(_star_counts(s, d))),
+        "topic_user_day_brand_star": ("users", lambda s, d: topics.topic_user_day(_brand_counts(s, d))),
+        "user_repo_day": ("repos", lambda s, d: topics.user_repo_day(_activity(s, d))),
+        "user_repo_day_star": ("repos", lambda s, d: topics.user_repo_day(star_activity(s, d))),
+        "user_user": ("follows", lambda s, d: follows.user_user(_edges(s, d))),
+        "user_user_coded": ("follows", lambda s, d: follows.user_user(_coded_edges(s, d))),
+        "user_user_star": ("follows", lambda s, d: follows.user_user(_star_edges(s, d))),
+    }
+    lookups = {
+        "user_follows": lambda spark, sf_dir: serve.user_follows(_edges(spark, sf_dir), USER),
+        "ego_network": lambda spark, sf_dir: serve.ego_network(_edges(spark, sf_dir), USER),
         "window_bounds": window_bounds,
         "network_topics": network_topics,
         "network_topics_coded": network_topics_coded,
@@ -251,9 +290,12 @@ def catalog() -> dict[str, Query]:
         "topic_users_published": topic_users_published,
         "network_topic_users": network_topic_users,
         "topic_user_links": topic_user_links,
-        "popular_users": lambda s, d: follows.popular_users(_edges(s, d), MORE_THAN),
-        "ego_network": lambda s, d: serve.ego_network(_edges(s, d), USER),
         "publish_user_user": publish_user_user,
         "publish_user_topic": publish_user_topic,
         "publish_topic_user": publish_topic_user,
     }
+    as_text = {
+        key: lambda spark, sf_dir, name=name, build=build: _text(build(spark, sf_dir), name)
+        for key, (name, build) in lists.items()
+    }
+    return {**events, **relations, **as_text, **lookups}
