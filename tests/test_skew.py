@@ -84,3 +84,21 @@ def test_lists_do_not_depend_on_row_order(skewed):
         return sorted((r.key, r.part, tuple(r.vs)) for r in df.collect())
 
     assert rows(one) == rows(other)
+
+
+def test_short_lists_need_no_cutting(skewed):
+    counted = skewed.select("key", (F.col("v") % 5).alias("v")).groupBy("key", "v").agg(F.count("*").alias("n"))
+    short = bounded_lists(counted, ["key"], "v", "vs", most_items=5)
+    assert sorted(map(tuple, short.collect())) == sorted(
+        map(tuple, bounded_lists(counted, ["key"], "v", "vs").collect())
+    )
+    long = bounded_lists(counted, ["key"], "v", "vs", max_items=4, most_items=5)
+    assert max(len(r.vs) for r in long.collect()) == 4
+
+
+def test_hot_keys_counted_elsewhere(skewed):
+    counted = skewed.groupBy("key", "v").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(skewed.na.drop(), ["key"], floor=1_000)
+    given = bounded_lists(counted, ["key"], "v", "vs", hot=hot)
+    own = bounded_lists(counted, ["key"], "v", "vs", floor=1_000)
+    assert sorted(map(tuple, given.collect())) == sorted(map(tuple, own.collect()))

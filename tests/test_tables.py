@@ -102,6 +102,13 @@ def test_read_events_with_archive_ids(spark, tmp_path):
     ]
 
 
+def test_events_without_ids_get_one(spark, tmp_path):
+    lines = [f'{{"type":"ForkEvent","actor":{{"login":"{u}"}},"created_at":"2018-01-01"}}' for u in "aab"]
+    (tmp_path / "e.json").write_text("\n".join(lines))
+    ids = [r.event_id for r in read_events(spark, str(tmp_path / "e.json")).collect()]
+    assert None not in ids and ids[0] == ids[1] != ids[2]
+
+
 @pytest.fixture(scope="module")
 def daily(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("daily")

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from topicloom.functions.text import hash32
 from topicloom.operators.lists import bounded_lists
+from topicloom.operators.skew import hot_keys
 from topicloom.session import saved
 
 # Fixed value: followed users drawn per activity.
@@ -74,9 +75,14 @@ def follow_counts(edges: DataFrame) -> DataFrame:
     return edges.groupBy("usr", "follow").agg(F.count(F.lit(1)).alias("n"))
 
 
-def user_user(edges: DataFrame, **limits) -> DataFrame:
-    """User to the list of followed users."""
-    return bounded_lists(follow_counts(edges), ["usr"], "follow", "follows", **limits)
+def user_user(edges: DataFrame, activity: DataFrame | None = None, **limits) -> DataFrame:
+    """User to the list of followed users.
+
+    The very active users are those with many edges; they are found with less work in the stored
+    ``activity`` that the edges were drawn for.
+    """
+    hot = None if activity is None else hot_keys(activity, ["usr"], F.lit(DRAWS))
+    return bounded_lists(follow_counts(edges), ["usr"], "follow", "follows", hot=hot, **limits)
 
 
 def popular_users(edges: DataFrame, more_than: int) -> DataFrame:

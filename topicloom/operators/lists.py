@@ -21,41 +21,48 @@ def bounded_lists(
     name: str,
     max_items: int = MAX_ITEMS,
     floor: int = HOT_FLOOR,
+    most_items: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Lists per key from rows ``keys, item, n`` that hold each item of a key once.
 
     A list is a bag: ``name`` has each item once, in order, and ``counts`` how often it occurs;
     ``n`` is the size of the bag. No array is longer than ``max_items``: longer lists continue
     in further parts, and the items of a hot key are first spread over tasks by a hash.
+
+    ``most_items`` is a known bound on the items of one key; if lists cannot get too long, nothing
+    has to be spread or cut. ``hot`` are hot keys counted elsewhere.
     """
     counted = counted.na.drop(subset=list(keys))
-    hot = F.broadcast(hot_keys(counted, keys, F.col("n"), floor))
-    salts = F.coalesce(F.col("salts"), F.lit(1))
-    # Only the items of hot keys are hashed.
-    salt = F.when(salts > 1, hash32(F.col(item)) % salts).otherwise(F.lit(0))
-    spread = (
-        counted.join(hot, list(keys), "left")
-        .withColumn("salt", salt)
-        .withColumn("salts", salts)
-    )
-    # One shuffle serves the numbering and the grouping: both are clustered by keys and salt.
-    order = Window.partitionBy(*keys, "salt").orderBy(item)
-    chunk = F.floor((F.row_number().over(order) - 1) / F.lit(max_items))
-    part = F.col("salt") + F.col("salts") * F.col("chunk")
-    return (
-        spread.withColumn("chunk", chunk)
-        .groupBy(*keys, "salt", "salts", "chunk")
-        .agg(
-            F.sort_array(F.collect_list(F.struct(item, "n"))).alias("bag"),
-            F.sum("n").alias("total"),
+    bag = F.sort_array(F.collect_list(F.struct(item, "n"))).alias("bag")
+    total = F.sum("n").alias("total")
+    if most_items is not None and most_items <= max_items:
+        lists = counted.groupBy(*keys).agg(bag, total)
+        part = F.lit(0)
+    else:
+        if hot is None:
+            hot = hot_keys(counted, keys, F.col("n"), floor)
+        salts = F.coalesce(F.col("salts"), F.lit(1))
+        # Only the items of hot keys are hashed.
+        salt = F.when(salts > 1, hash32(F.col(item)) % salts).otherwise(F.lit(0))
+        spread = (
+            counted.join(F.broadcast(hot), list(keys), "left")
+            .withColumn("salt", salt)
+            .withColumn("salts", salts)
         )
-        .select(
-            *keys,
-            part.cast("bigint").alias("part"),
-            F.col(f"bag.{item}").alias(name),
-            F.col("bag.n").alias("counts"),
-            F.col("total").alias("n"),
+        # One shuffle serves the numbering and the grouping: both are clustered by keys and salt.
+        order = Window.partitionBy(*keys, "salt").orderBy(item)
+        chunk = F.floor((F.row_number().over(order) - 1) / F.lit(max_items))
+        lists = (
+            spread.withColumn("chunk", chunk).groupBy(*keys, "salt", "salts", "chunk").agg(bag, total)
         )
+        part = F.col("salt") + F.col("salts") * F.col("chunk")
+    return lists.select(
+        *keys,
+        part.cast("bigint").alias("part"),
+        F.col(f"bag.{item}").alias(name),
+        F.col("bag.n").alias("counts"),
+        F.col("total").alias("n"),
     )
 
 

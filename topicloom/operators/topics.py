@@ -72,7 +72,10 @@ def user_topic_counts(
 
 
 def user_topic_day(counts: DataFrame, **limits) -> DataFrame:
-    """(user, day) to the list of topics."""
+    """(user, day) to the list of topics.
+
+    Where the topics come from a short vocabulary, its length is a good ``most_items``.
+    """
     return bounded_lists(counts, ["usr", "day"], "topic", "topics", **limits)
 
 

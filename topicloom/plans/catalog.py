@@ -33,6 +33,8 @@ STAR_USER = 8
 STAR_TOPIC = "ECONOMY"
 STAR_START, STAR_END = date(1997, 1, 1), date(1997, 7, 1)
 
+# A user has at most the whole vocabulary on a day.
+SHORT = {"most_items": len(TOPICS)}
 # Small limits, so that the test tables have lists of several parts and salted keys.
 SMALL = {"max_items": 4, "floor": 8}
 
@@ -159,7 +161,7 @@ def network_topics_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup over the published list tables."""
     user_table, topic_table = scratch_path(spark, "useruser"), scratch_path(spark, "usertopic")
     publish_latest(follows.user_user(_edges(spark, sf_dir)), user_table, "usr", run=1)
-    publish_days(topics.user_topic_day(_counts(spark, sf_dir)), topic_table, "usr")
+    publish_days(topics.user_topic_day(_counts(spark, sf_dir), **SHORT), topic_table, "usr")
     edges = unnest(read_latest(spark, user_table), "follows", "follow")
     user_topics = unnest(spark.read.parquet(topic_table), "topics", "topic")
     return serve.network_topics(user_topics, serve.user_follows(edges, USER), START, END)
@@ -204,7 +206,7 @@ def publish_user_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_user_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published twice, read back."""
     path = scratch_path(spark, "usertopic")
-    lists = topics.user_topic_day(_counts(spark, sf_dir))
+    lists = topics.user_topic_day(_counts(spark, sf_dir), **SHORT)
     for _ in range(2):
         publish_days(lists, path, "usr")
     return _text(spark.read.parquet(path), "topics")
@@ -263,8 +265,11 @@ def catalog() -> dict[str, Query]:
     }
     # Column of the lists, and the lists.
     lists = {
-        "user_topic_day": ("topics", lambda s, d: topics.user_topic_day(_counts(s, d))),
-        "user_topic_day_coded": ("topics", lambda s, d: topics.user_topic_day(_coded_counts(s, d))),
+        "user_topic_day": ("topics", lambda s, d: topics.user_topic_day(_counts(s, d), **SHORT)),
+        "user_topic_day_coded": (
+            "topics",
+            lambda s, d: topics.user_topic_day(_coded_counts(s, d), **SHORT),
+        ),
         "user_topic_day_star": ("topics", lambda s, d: topics.user_topic_day(_star_counts(s, d))),
         "topic_user_day": ("users", lambda s, d: topics.topic_user_day(_counts(s, d))),
         "topic_user_day_parts": ("users", lambda s, d: topics.topic_user_day(_counts(s, d), **SMALL)),

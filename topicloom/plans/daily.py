@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.functions.vocabulary import TOPICS
 from topicloom.operators import follows, topics
 from topicloom.operators.clean import clean_events, user_repo
 from topicloom.session import build_session
@@ -45,16 +46,18 @@ def run_days(
     raw = read_events(spark, *globs, id_field=id_field)
     publish_days(user_repo(clean_events(raw)).where(covered), f"{out}/activity", "usr")
     activity = of_these_days("activity")
+    most_topics = None
     if repo_topics is None:
         repo_topics = topics.repo_topic(activity)
+        most_topics = len(TOPICS)
 
     publish_days(topics.user_topic_counts(activity, repo_topics), f"{out}/counts", "usr")
     counts = of_these_days("counts")
-    publish_days(topics.user_topic_day(counts), f"{out}/usertopic", "usr")
+    publish_days(topics.user_topic_day(counts, most_items=most_topics), f"{out}/usertopic", "usr")
     publish_days(topics.topic_user_day(counts), f"{out}/topicuser", "topic")
 
     edges = follows.follow_edges(activity, follows.user_index(activity))
-    publish_latest(follows.user_user(edges), f"{out}/useruser", "usr", run)
+    publish_latest(follows.user_user(edges, activity), f"{out}/useruser", "usr", run)
 
 
 def main() -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EVENT_SCHEMA = T.StructType(
@@ -21,11 +22,13 @@ def read_events(spark: SparkSession, *globs: str, id_field: str = "event_id") ->
 
     The schema is given, so no file is read twice to infer it. Gzip cannot be split: each file
     is one task, which is why the daily job lands the events as Parquet and reads that.
-    ``id_field`` names the unique id in the files, as number or as digits.
+    ``id_field`` names the unique id in the files, as number or as digits; without one, a
+    hash of the event stands in.
     """
     as_stored = T.StructType(
         [T.StructField(id_field, T.StringType())] + EVENT_SCHEMA.fields[1:]
     )
     events = spark.read.schema(as_stored).json(list(globs))
-    ids = events[id_field].cast("bigint").alias("event_id")
-    return events.select(ids, "type", "actor", "repo", "created_at")
+    fallback = F.xxhash64("type", "actor.login", "repo.name", "created_at")
+    ids = F.coalesce(F.col(id_field).try_cast("bigint"), fallback)
+    return events.select(ids.alias("event_id"), "type", "actor", "repo", "created_at")
