@@ -126,8 +126,8 @@ def _lists(source: str, keys: str, item: str, name: str, max_items=10_000, floor
                     JOIN (SELECT {keys}, CASE WHEN size > {floor} AND place <= 4096
                                               THEN least(CAST(ceil(size / {floor}) AS BIGINT), 4096)
                                               ELSE 1 END AS salts
-                          FROM (SELECT {keys}, CAST(sum(n) AS DOUBLE) AS size,
-                                       row_number() OVER (ORDER BY sum(n) DESC, {keys}) AS place
+                          FROM (SELECT {keys}, CAST(count(*) AS DOUBLE) AS size,
+                                       row_number() OVER (ORDER BY count(*) DESC, {keys}) AS place
                                 FROM {source} GROUP BY {keys})) s ON {on}))
         GROUP BY {keys}, salt, salts, chunk"""
 

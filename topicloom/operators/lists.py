@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from topicloom.functions.text import hash32
-from topicloom.operators.skew import HOT_FLOOR, hot_keys
+from topicloom.operators.skew import HOT_FLOOR, each_row, hot_keys
 
 MAX_ITEMS = 10_000
 
@@ -41,7 +41,7 @@ def bounded_lists(
         part = F.lit(0)
     else:
         if hot is None:
-            hot = hot_keys(counted, keys, F.col("n"), floor)
+            hot = hot_keys(counted, keys, each_row(F.col("n")), floor)
         salts = F.coalesce(F.col("salts"), F.lit(1))
         # Only the items of hot keys are hashed.
         salt = F.when(salts > 1, hash32(F.col(item)) % salts).otherwise(F.lit(0))

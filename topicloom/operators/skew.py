@@ -15,6 +15,15 @@ HOT_FLOOR = 100_000
 MAX_SALTS = 4096
 
 
+def each_row(count: Column) -> Column:
+    """The weight 1 for every row of a counted table.
+
+    It is written in terms of the count so that the column stays in the plan: finding the hot
+    keys then needs the same shuffle as the main branch, and Spark runs it once.
+    """
+    return F.least(count, F.lit(1))
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], weight: Column | None = None, floor: int = HOT_FLOOR
 ) -> DataFrame:
@@ -47,7 +56,7 @@ def skew_join(
 
     Rows of a hot key are salted by a hash of the whole row, and the right rows of that key are
     repeated once per salt. Each left row meets each of its right rows exactly once. ``weight``
-    is a column to sum when the left side is already counted. ``fan_out`` says that a left row
+    is what a left row weighs, one by default. ``fan_out`` says that a left row
     meets many right rows: all shuffle partitions are then kept, where Spark would merge those
     that are small before the join.
     """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from topicloom.functions.text import hash32
 from topicloom.functions.vocabulary import TOPICS
 from topicloom.operators.lists import bounded_lists
-from topicloom.operators.skew import skew_join
+from topicloom.operators.skew import each_row, skew_join
 
 
 def drawn_topic(seed: Column) -> Column:
@@ -63,7 +63,7 @@ def user_topic_counts(
     topics = repo_topics.groupBy("repo", "topic").agg(F.count(F.lit(1)).alias("rows"))
     if count_first:
         counts = user_repo_counts(activity)
-        joined = skew_join(counts, topics, "repo", weight=F.col("n"), fan_out=True)
+        joined = skew_join(counts, topics, "repo", weight=each_row(F.col("n")), fan_out=True)
         n = F.sum(F.col("n") * F.col("rows"))
     else:
         joined = skew_join(activity, topics, "repo")
