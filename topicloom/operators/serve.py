@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.functions.text import in_window, iso_text, picker_day, profile_link
+from topicloom.session import saved
 
 # Fixed value: users shown for one topic.
 SHOWN = 5
@@ -30,7 +31,8 @@ def user_follows(edges: DataFrame, user) -> DataFrame:
 def window_bounds(requests: DataFrame) -> DataFrame:
     """Date-picker text ``from_date, to_date`` as days and as ISO text."""
     days = requests.select(
-        picker_day(F.col("from_date")).alias("from_day"), picker_day(F.col("to_date")).alias("to_day")
+        picker_day(F.col("from_date")).alias("from_day"),
+        picker_day(F.col("to_date")).alias("to_day"),
     )
     return days.select(
         "from_day",
@@ -40,11 +42,20 @@ def window_bounds(requests: DataFrame) -> DataFrame:
     )
 
 
+def of_network(rows: DataFrame, follows: DataFrame) -> DataFrame:
+    """Rows whose ``usr`` is a followed user.
+
+    The list is written first, so Spark knows its size when it plans the join: the usual short
+    list is broadcast, and the rows of all users are not shuffled to find those of a few.
+    """
+    followed = follows.select(F.col("follow").alias("usr")).where(F.col("follow").isNotNull())
+    return rows.join(saved(followed, "follows"), "usr", "left_semi")
+
+
 def network_topics(user_topics: DataFrame, follows: DataFrame, start: date, end: date) -> DataFrame:
     """The different topics of the followed users, strictly within the window."""
     within = user_topics.where(in_window(F.col("day"), start, end))
-    followed = follows.select(F.col("follow").alias("usr")).where(F.col("usr").isNotNull())
-    return within.join(followed, "usr", "left_semi").select("topic").distinct()
+    return of_network(within, follows).select("topic").distinct()
 
 
 def topic_users(
@@ -61,12 +72,15 @@ def topic_users(
 
 
 def network_topic_users(
-    user_topics: DataFrame, follows: DataFrame, topic: str, start: date, end: date, shown: int = SHOWN
+    user_topics: DataFrame,
+    follows: DataFrame,
+    topic: str,
+    start: date,
+    end: date,
+    shown: int = SHOWN,
 ) -> DataFrame:
     """``topic_users`` among the followed users only."""
-    followed = follows.select(F.col("follow").alias("usr"))
-    network = user_topics.join(followed, "usr", "left_semi")
-    return topic_users(network, topic, start, end, shown)
+    return topic_users(of_network(user_topics, follows), topic, start, end, shown)
 
 
 def topic_user_links(users: DataFrame) -> DataFrame:

@@ -138,8 +138,12 @@ def window_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def network_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the followed users' activity within the window is joined with topics."""
     followed = serve.user_follows(_edges(spark, sf_dir), USER)
-    return serve.network_topics(_counts(spark, sf_dir, START, END), followed, START, END)
+    activity = _activity(spark, sf_dir)
+    asked = serve.of_network(activity.where(in_window(F.col("day"), START, END)), followed)
+    counts = topics.user_topic_counts(asked, topics.repo_topic(activity), count_first=True)
+    return counts.select("topic").distinct()
 
 
 def network_topics_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
