@@ -5,18 +5,19 @@ from contextlib import redirect_stdout
 
 import pytest
 
+from topicloom.operators.clean import clean_events, user_repo
 from topicloom.operators.topics import user_topic_counts
 from topicloom.plans.catalog import catalog
-from topicloom.sources.testdata import star_activity, star_topics
+from topicloom.sources.testdata import raw_events, star_activity, star_topics
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = catalog()
 
 
-def explained(df):
+def explained(df, formatted=False):
     out = io.StringIO()
     with redirect_stdout(out):
-        df.explain()
+        df.explain("formatted" if formatted else "simple")
     return out.getvalue()
 
 
@@ -38,6 +39,16 @@ def test_scan_reads_only_needed_columns(spark):
     }
 
 
+def test_filters_and_columns_reach_the_scan_of_stored_events(spark, tmp_path):
+    raw_events(spark, SF_DIR).write.parquet(f"{tmp_path}/raw")
+    stored = spark.read.parquet(f"{tmp_path}/raw")
+    plan = explained(user_repo(clean_events(stored)).select("usr", "day"), formatted=True)
+    assert "In(type, [CommitCommentEvent,ForkEvent])" in plan
+    for column in ("actor.login", "repo.name", "created_at"):
+        assert f"IsNotNull({column})" in plan
+    assert "ReadSchema: struct<type:string,actor:struct<login:string>,repo:struct<name:string>" in plan
+
+
 def test_rows_are_counted_on_the_map_side(spark):
     plan = explained(QUERIES["user_topic_counts_star"](spark, SF_DIR))
     assert "partial_count(1)" in plan and "partial_sum" in plan

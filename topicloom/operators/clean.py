@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicloom.functions.nulls import all_present
 from topicloom.functions.text import event_day
 
 # The event types that count as activity.
@@ -29,11 +30,8 @@ def filter_event_types(raw: DataFrame) -> DataFrame:
 
 def clean_events(raw: DataFrame) -> DataFrame:
     """Activity events with user, repository and time all present."""
-    return (
-        flat_events(filter_event_types(raw))
-        .na.drop(subset=["login", "repo", "created_at"])
-        .drop("type")
-    )
+    events = flat_events(filter_event_types(raw)).drop("type")
+    return events.where(all_present("login", "repo", "created_at"))
 
 
 def clean_events_sql(raw: DataFrame) -> DataFrame:
@@ -56,16 +54,16 @@ def clean_events_coded(raw: DataFrame) -> DataFrame:
     Forks without actor or repository stay, with nulls.
     """
     fork, comment = ACTIVITY_TYPES
-    whole = F.col("actor").isNotNull() & F.col("repo").isNotNull()
+    whole = all_present("actor", "repo")
     kept = raw.where((F.col("type") == fork) | ((F.col("type") == comment) & whole))
-    return flat_events(kept.na.drop(subset=["created_at"])).drop("type")
+    return flat_events(kept.where(all_present("created_at"))).drop("type")
 
 
 def user_repo(events: DataFrame) -> DataFrame:
     """Activity ``event_id, usr, repo, day`` of cleaned events with a user and a valid day."""
-    return events.select(
-        "event_id", F.col("login").alias("usr"), "repo", event_day(F.col("created_at")).alias("day")
-    ).na.drop(subset=["usr", "day"])
+    day = event_day(F.col("created_at")).alias("day")
+    activity = events.select("event_id", F.col("login").alias("usr"), "repo", day)
+    return activity.where(all_present("usr", "day"))
 
 
 def null_profile(raw: DataFrame) -> DataFrame:

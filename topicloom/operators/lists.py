@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from topicloom.functions.nulls import all_present
 from topicloom.functions.text import hash32
 from topicloom.operators.skew import HOT_FLOOR, each_row, hot_keys
 
@@ -33,7 +34,7 @@ def bounded_lists(
     ``most_items`` is a known bound on the items of one key; if lists cannot get too long, nothing
     has to be spread or cut. ``hot`` are hot keys counted elsewhere.
     """
-    counted = counted.na.drop(subset=list(keys))
+    counted = counted.where(all_present(*keys))
     bag = F.sort_array(F.collect_list(F.struct(item, "n"))).alias("bag")
     total = F.sum("n").alias("total")
     if most_items is not None and most_items <= max_items:

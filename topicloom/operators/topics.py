@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from topicloom.functions.nulls import all_present
 from topicloom.functions.text import hash32
 from topicloom.functions.vocabulary import TOPICS
 from topicloom.operators.lists import bounded_lists
@@ -41,9 +42,9 @@ def user_topic_bag(activity: DataFrame, repo_topics: DataFrame) -> DataFrame:
 
 
 def user_repo_counts(activity: DataFrame) -> DataFrame:
-    """``usr, day, repo, n``: activities counted."""
+    """``usr, day, repo, n``: activities counted, where user, day and repository are present."""
     return (
-        activity.where(F.col("repo").isNotNull())
+        activity.where(all_present("usr", "day", "repo"))
         .groupBy("usr", "day", "repo")
         .agg(F.count(F.lit(1)).alias("n"))
     )

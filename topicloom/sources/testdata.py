@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.functions.nulls import all_present
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,9 +41,10 @@ def star_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("day"),
     )
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    return lines.join(orders, "l_orderkey").select(
+    activity = lines.join(orders, "l_orderkey").select(
         F.col("l_orderkey").alias("event_id"), "usr", F.col("l_partkey").alias("repo"), "day"
     )
+    return activity.where(all_present("usr", "day"))
 
 
 def star_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
