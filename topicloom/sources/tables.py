@@ -28,10 +28,13 @@ def publish_days(df: DataFrame, path: str, key: str, whole_days: bool = True) ->
     if not whole_days:
         stored = table_or_none(df.sparkSession, path)
         if stored is not None:
-            df = saved(df, "run")  # read three times below
+            df = saved(df, "run")  # read several times below
+            span = df.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
             touched = df.select("day").distinct()
-            kept = stored.join(touched, "day", "left_semi").join(
-                df.select(key, "day").distinct(), [key, "day"], "left_anti"
+            kept = (
+                stored.where(F.col("day").between(F.lit(span.first), F.lit(span.last)))
+                .join(touched, "day", "left_semi")
+                .join(df.select(key, "day").distinct(), [key, "day"], "left_anti")
             )
             df = df.unionByName(kept)
     # Rebalancing splits a day that holds much of the data over many files, and the sort lets
@@ -49,13 +52,16 @@ def publish_days(df: DataFrame, path: str, key: str, whole_days: bool = True) ->
 def publish_latest(df: DataFrame, path: str, key: str, run: int) -> None:
     """Write the next snapshot of a table without days: the newest run wins for each key.
 
-    A snapshot is a folder ``run=<n>``. Publishing the same run again replaces it, built from
-    the same earlier snapshot, so the result is the same.
+    A snapshot is a folder ``run=<n>``; a small table beside them lists the runs that are
+    complete. Publishing the same run again replaces its snapshot, built from the same earlier
+    one, so the result is the same.
     """
-    stored = table_or_none(df.sparkSession, path)
-    if stored is not None:
+    spark = df.sparkSession
+    runs = table_or_none(spark, f"{path}_runs")
+    base = None if runs is None else runs.where(F.col("run") < run).agg(F.max("run")).first()[0]
+    if base is not None:
         df = saved(df, "run")  # read twice below
-        earlier = _latest(stored.where(F.col("run") < run))
+        earlier = spark.read.parquet(f"{path}/run={base}")
         df = df.unionByName(earlier.join(df.select(key).distinct(), key, "left_anti"))
     (
         df.hint("rebalance", key)
@@ -63,13 +69,11 @@ def publish_latest(df: DataFrame, path: str, key: str, run: int) -> None:
         .write.mode("overwrite")
         .parquet(f"{path}/run={run}")
     )
+    this_run = spark.range(1).select(F.lit(run).cast("bigint").alias("run"))
+    this_run.coalesce(1).write.mode("append").parquet(f"{path}_runs")
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot."""
-    return _latest(spark.read.parquet(path))
-
-
-def _latest(snapshots: DataFrame) -> DataFrame:
-    newest = snapshots.agg(F.max("run")).scalar()
-    return snapshots.where(F.col("run") == newest).drop("run")
+    """The newest complete snapshot."""
+    newest = spark.read.parquet(f"{path}_runs").agg(F.max("run")).first()[0]
+    return spark.read.parquet(f"{path}/run={newest}")
