@@ -63,7 +63,8 @@ EVENT_TABLES = {
     "users_coded": """
         SELECT usr, row_number() OVER (ORDER BY usr) - 1 AS idx
         FROM (SELECT DISTINCT usr FROM activity_coded)""",
-    "entries_coded": "SELECT usr, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM activity_coded",
+    "entries_coded": """
+        SELECT usr, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM activity_coded""",
 }
 
 
@@ -120,7 +121,8 @@ def _lists(source: str, keys: str, item: str, name: str, max_items=10_000, floor
                array_to_string(list({item} ORDER BY {item}), ',') AS {name},
                array_to_string(list(n ORDER BY {item}), ',') AS counts,
                CAST(sum(n) AS BIGINT) AS n
-        FROM (SELECT *, (row_number() OVER (PARTITION BY {keys}, salt ORDER BY {item}) - 1) // {max_items} AS chunk
+        FROM (SELECT *, (row_number() OVER (PARTITION BY {keys}, salt ORDER BY {item}) - 1)
+                        // {max_items} AS chunk
               FROM (SELECT {of_k}, k.{item}, k.n, s.salts, {_hash(f'k.{item}')} % s.salts AS salt
                     FROM {source} k
                     JOIN (SELECT {keys}, CASE WHEN size > {floor} AND place <= 4096
@@ -167,7 +169,10 @@ def oracle_queries() -> dict[str, str]:
     topic_lists = _lists("counts", "usr, day", "topic", "topics")
     user_lists = _lists("counts", "topic, day", "usr", "users")
     follow_lists = _lists(
-        "(SELECT usr, follow, count(*) AS n FROM edges GROUP BY usr, follow)", "usr", "follow", "follows"
+        "(SELECT usr, follow, count(*) AS n FROM edges GROUP BY usr, follow)",
+        "usr",
+        "follow",
+        "follows",
     )
     repo_lists = _lists("repo_counts", "usr, day", "repo", "repos")
     network = f"AND usr IN (SELECT follow FROM edges WHERE usr = {user})"
@@ -186,14 +191,20 @@ def oracle_queries() -> dict[str, str]:
         "clean_events": _events("SELECT * FROM clean"),
         "clean_events_sql": _events("SELECT * FROM clean"),
         "clean_events_coded": _events("SELECT * FROM coded"),
-        "event_day": _events("SELECT event_id, CAST(substr(created_at, 1, 10) AS DATE) AS day FROM raw"),
-        "null_profile": _events(" UNION ALL ".join(map(_nulls, ("login", "repo", "created_at", "day")))),
+        "event_day": _events(
+            "SELECT event_id, CAST(substr(created_at, 1, 10) AS DATE) AS day FROM raw"
+        ),
+        "null_profile": _events(
+            " UNION ALL ".join(map(_nulls, ("login", "repo", "created_at", "day")))
+        ),
         "user_repo": _events("SELECT usr, repo, day FROM activity"),
         "user_repo_coded": _events("SELECT usr, repo, day FROM activity_coded"),
         "user_repo_star": _star("SELECT usr, repo, day FROM activity"),
         "repo_topic": _events("SELECT * FROM repo_topic"),
         "repo_topic_coded": _events("SELECT * FROM repo_topic_coded"),
-        "repo_topic_first": _events("SELECT repo, min(topic) AS topic FROM repo_topic_coded GROUP BY repo"),
+        "repo_topic_first": _events(
+            "SELECT repo, min(topic) AS topic FROM repo_topic_coded GROUP BY repo"
+        ),
         "user_topic_bag": _events("SELECT * FROM bag"),
         "user_topic_star": _star("SELECT * FROM brand_bag"),
         "user_topic_counts": _events("SELECT * FROM counts_coded"),
@@ -219,19 +230,27 @@ def oracle_queries() -> dict[str, str]:
         "window_bounds": _events(
             """SELECT from_day, to_day, strftime(from_day, '%Y-%m-%d') AS from_text,
                       strftime(to_day, '%Y-%m-%d') AS to_text
-               FROM (SELECT CAST(strptime(strftime(day, '%a %b %d %Y'), '%a %b %d %Y') AS DATE) AS from_day,
-                            CAST(strptime(strftime(day + 7, '%a %b %d %Y'), '%a %b %d %Y') AS DATE) AS to_day
+               FROM (SELECT CAST(strptime(strftime(day, '%a %b %d %Y'), '%a %b %d %Y')
+                                 AS DATE) AS from_day,
+                            CAST(strptime(strftime(day + 7, '%a %b %d %Y'), '%a %b %d %Y')
+                                 AS DATE) AS to_day
                      FROM (SELECT CAST(substr(created_at, 1, 10) AS DATE) AS day FROM raw))"""
         ),
         "network_topics": _events(_network("counts", "edges", user, c.START, c.END)),
-        "network_topics_coded": _events(_network("counts_coded", "edges_coded_users", user, c.START, c.END)),
-        "network_topics_star": _star(_network("counts", "edges", str(c.STAR_USER), c.STAR_START, c.STAR_END)),
+        "network_topics_coded": _events(
+            _network("counts_coded", "edges_coded_users", user, c.START, c.END)
+        ),
+        "network_topics_star": _star(
+            _network("counts", "edges", str(c.STAR_USER), c.STAR_START, c.STAR_END)
+        ),
         "network_topics_published": _events(_network("counts", "edges", user, c.START, c.END)),
         "topic_users": _events(first),
         "topic_users_star": _star(_first("counts", c.STAR_TOPIC, c.STAR_START, c.STAR_END)),
         "topic_users_published": _events(first),
         "network_topic_users": _events(_first("counts", c.TOPIC, c.START, c.TOPIC_END, network)),
-        "topic_user_links": _events(f"SELECT usr, 'https://github.com/' || usr AS link FROM ({first})"),
+        "topic_user_links": _events(
+            f"SELECT usr, 'https://github.com/' || usr AS link FROM ({first})"
+        ),
         "popular_users": _events(
             f"""SELECT follow, count(DISTINCT usr) AS n FROM edges
                 GROUP BY follow HAVING count(DISTINCT usr) > {c.MORE_THAN}"""

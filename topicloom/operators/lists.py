@@ -54,9 +54,8 @@ def bounded_lists(
         # One shuffle serves the numbering and the grouping: both are clustered by keys and salt.
         order = Window.partitionBy(*keys, "salt").orderBy(item)
         chunk = F.floor((F.row_number().over(order) - 1) / F.lit(max_items))
-        lists = (
-            spread.withColumn("chunk", chunk).groupBy(*keys, "salt", "salts", "chunk").agg(bag, total)
-        )
+        chunks = spread.withColumn("chunk", chunk)
+        lists = chunks.groupBy(*keys, "salt", "salts", "chunk").agg(bag, total)
         part = F.col("salt") + F.col("salts") * F.col("chunk")
     return lists.select(
         *keys,

@@ -54,6 +54,7 @@ def skew_join(
 ) -> DataFrame:
     """Inner equi-join that spreads the hot keys of the left side over many tasks.
 
+    The right side has few rows per key, such as the topics of a repository.
     Rows of a hot key are salted by a hash of the whole row, and the right rows of that key are
     repeated once per salt. Each left row meets each of its right rows exactly once. ``weight``
     is what a left row weighs, one by default. ``fan_out`` says that a left row

@@ -16,7 +16,7 @@ from topicloom.functions.text import event_day, in_window, picker_text
 from topicloom.functions.vocabulary import TOPICS, topic_vocabulary
 from topicloom.operators import clean, follows, serve, topics
 from topicloom.operators.lists import unnest
-from topicloom.session import scratch_path
+from topicloom.session import saved, scratch_path
 from topicloom.sources.events import read_events
 from topicloom.sources.tables import publish_days, publish_latest, read_latest
 from topicloom.sources.testdata import raw_events, star_activity, star_orders, star_topics
@@ -201,7 +201,7 @@ def topic_user_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_user_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over the same events, read back."""
     path = scratch_path(spark, "useruser")
-    lists = follows.user_user(_edges(spark, sf_dir))
+    lists = saved(follows.user_user(_edges(spark, sf_dir)), "lists")
     for run in (1, 2):
         publish_latest(lists, path, "usr", run)
     return _text(read_latest(spark, path), "follows")
@@ -210,7 +210,7 @@ def publish_user_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_user_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published twice, read back."""
     path = scratch_path(spark, "usertopic")
-    lists = topics.user_topic_day(_counts(spark, sf_dir), **SHORT)
+    lists = saved(topics.user_topic_day(_counts(spark, sf_dir), **SHORT), "lists")
     for _ in range(2):
         publish_days(lists, path, "usr")
     return _text(spark.read.parquet(path), "topics")
@@ -219,7 +219,7 @@ def publish_user_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_topic_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published twice, the second time key by key, read back."""
     path = scratch_path(spark, "topicuser")
-    lists = topics.topic_user_day(_counts(spark, sf_dir))
+    lists = saved(topics.topic_user_day(_counts(spark, sf_dir)), "lists")
     publish_days(lists, path, "topic")
     publish_days(lists, path, "topic", whole_days=False)
     return _text(spark.read.parquet(path), "users")
@@ -276,10 +276,16 @@ def catalog() -> dict[str, Query]:
         ),
         "user_topic_day_star": ("topics", lambda s, d: topics.user_topic_day(_star_counts(s, d))),
         "topic_user_day": ("users", lambda s, d: topics.topic_user_day(_counts(s, d))),
-        "topic_user_day_parts": ("users", lambda s, d: topics.topic_user_day(_counts(s, d), **SMALL)),
+        "topic_user_day_parts": (
+            "users",
+            lambda s, d: topics.topic_user_day(_counts(s, d), **SMALL),
+        ),
         "topic_user_day_coded": ("users", lambda s, d: topics.topic_user_day(_coded_counts(s, d))),
         "topic_user_day_star": ("users", lambda s, d: topics.topic_user_day(_star_counts(s, d))),
-        "topic_user_day_brand_star": ("users", lambda s, d: topics.topic_user_day(_brand_counts(s, d))),
+        "topic_user_day_brand_star": (
+            "users",
+            lambda s, d: topics.topic_user_day(_brand_counts(s, d)),
+        ),
         "user_repo_day": ("repos", lambda s, d: topics.user_repo_day(_activity(s, d))),
         "user_repo_day_star": ("repos", lambda s, d: topics.user_repo_day(star_activity(s, d))),
         "user_user": ("follows", lambda s, d: follows.user_user(_edges(s, d))),
