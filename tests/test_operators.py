@@ -1,12 +1,20 @@
 """Edge rows, invariants and window edges."""
 
+import hashlib
 from collections import Counter
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from topicloom.functions.text import event_day, in_window, picker_day, picker_text
+from topicloom.functions.text import (
+    event_day,
+    hash32,
+    hash60,
+    in_window,
+    picker_day,
+    picker_text,
+)
 from topicloom.functions.vocabulary import TOPICS, topic_vocabulary
 from topicloom.operators import clean, follows, serve, topics
 from topicloom.sources.events import EVENT_SCHEMA
@@ -156,8 +164,10 @@ def test_dense_index_is_the_rank(spark):
     assert {r.usr: r.idx for r in index.collect()} == {u: i for i, u in enumerate(expected)}
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 24])
 @pytest.mark.parametrize("users", [5, 6, 9, 50])
-def test_five_different_draws(spark, users):
+def test_five_different_draws(spark, monkeypatch, users, limit):
+    monkeypatch.setattr(follows, "EVEN_FOR_32_BITS", limit)
     rows = spark.range(400).select(F.col("id").alias("event_id"), (F.col("id") % users).alias("usr"))
     edges = follows.follow_edges(rows, follows.user_index(rows)).collect()
     drawn = {}
@@ -167,6 +177,12 @@ def test_five_different_draws(spark, users):
     assert len(drawn) == 400 and all(len(d) == 5 for d in drawn.values())
 
 
+def test_hashes(spark):
+    digest = hashlib.md5(b"17").hexdigest()
+    row = spark.range(17, 18).select(hash32(F.col("id")), hash60(F.col("id"))).first()
+    assert tuple(row) == (int(digest[:8], 16), int(digest[:15], 16))
+
+
 def test_too_few_users(spark):
     rows = spark.range(40).select(F.col("id").alias("event_id"), (F.col("id") % 4).alias("usr"))
     with pytest.raises(ValueError, match="cannot draw 5 of 4 users"):

@@ -11,13 +11,22 @@ from pyspark.sql import functions as F
 PROFILE_BASE = "https://github.com/"
 
 
+def _md5_number(value: Column, digits: int) -> Column:
+    return F.conv(F.substring(F.md5(value.cast("string")), 1, digits), 16, 10).cast("bigint")
+
+
 def hash32(value: Column) -> Column:
     """First 8 hex digits of the md5 of the value's text, as a bigint.
 
     Unlike ``rand()`` it gives the same value when a lost task runs again, and any SQL
     engine with md5 can reproduce it.
     """
-    return F.conv(F.substring(F.md5(value.cast("string")), 1, 8), 16, 10).cast("bigint")
+    return _md5_number(value, 8)
+
+
+def hash60(value: Column) -> Column:
+    """The same with 15 hex digits, for ranges that 32 bits would not cover evenly."""
+    return _md5_number(value, 15)
 
 
 def event_day(created_at: Column) -> Column:
