@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm.exact import exact_groups
+from topicloom.llm.jaccard import jaccard_components
 from topicloom.llm.mixing import mix
 from topicloom.sources.testdata import table
 
@@ -25,10 +26,16 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles are 90 % alike."""
+    return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op6_exact_dedup": op6_exact_dedup,
         "op8_mix_sources": op8_mix_sources,
+        "op9_jaccard_join": op9_jaccard_join,
     }
 
 

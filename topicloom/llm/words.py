@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 _K1 = np.uint64(0x9E3779B97F4A7C15)
@@ -61,7 +62,7 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``limit`` bytes of text, one row at least."""
-    sizes = np.array(pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
+    sizes = np.array(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
     group = np.cumsum(sizes) // limit
     cuts = np.flatnonzero(np.diff(group)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
@@ -129,18 +130,19 @@ def shingles(found: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return x[at], found.doc[at], at
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct numbers of an array."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     """The sorted distinct shingles of each text; of a shorter text, its whole sequence as one."""
     found = words(texts)
     x, doc, _ = shingles(found, size)
-    order = np.lexsort((x, doc))
-    x, doc = x[order], doc[order]
-    new = np.ones(len(x), bool)
-    new[1:] = (x[1:] != x[:-1]) | (doc[1:] != doc[:-1])
-    x, doc = x[new], doc[new]
     cut = np.searchsorted(doc, np.arange(found.docs + 1))
+    out = [distinct(x[cut[i] : cut[i + 1]]) for i in range(found.docs)]
     first = found.first()
-    out = [x[cut[i] : cut[i + 1]] for i in range(found.docs)]
     for i in np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < size)):
         out[i] = np.array([fold(found.hash[first[i] : first[i + 1]])], dtype=np.uint64)
     return out
