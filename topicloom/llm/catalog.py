@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm.exact import exact_groups
 from topicloom.llm.jaccard import jaccard_components
 from topicloom.llm.mixing import mix
+from topicloom.llm.packing import byte_bpe, packed
 from topicloom.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +23,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), stays="largest")
 
 
+def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    encoder = partial(byte_bpe, public_tokenizers.path("byte_bpe_50k.json"))
+    return packed(table(spark, sf_dir, "documents"), encoder)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by weights 5, 2, 1 to as many words as there are."""
     columns = ("doc_id", "size", "source_size", "target", "taken")
@@ -34,6 +43,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_harmonic_packing": op7_harmonic_packing,
         "op8_mix_sources": op8_mix_sources,
         "op9_jaccard_join": op9_jaccard_join,
     }
