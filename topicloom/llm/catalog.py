@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from topicloom.llm.exact import exact_groups
 from topicloom.llm.jaccard import jaccard_components
+from topicloom.llm.language import languages, with_held_out
 from topicloom.llm.mixing import mix
 from topicloom.llm.packing import byte_bpe, packed
+from topicloom.llm.sampling import crc_part
 from topicloom.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,12 +42,22 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    found = languages(docs, with_held_out(docs, 4, 2))
+    return found.select(
+        "doc_id", (crc_part("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op6_exact_dedup": op6_exact_dedup,
         "op7_harmonic_packing": op7_harmonic_packing,
         "op8_mix_sources": op8_mix_sources,
         "op9_jaccard_join": op9_jaccard_join,
+        "op10_language_id": op10_language_id,
     }
 
 
