@@ -15,11 +15,22 @@ from topicloom.llm.language import languages, with_held_out
 from topicloom.llm.mixing import mix
 from topicloom.llm.packing import byte_bpe, packed
 from topicloom.llm.sampling import crc_part
+from topicloom.llm.toxicity import toxicity
 from topicloom.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from three quarters of them and their labels."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(crc_part("doc_id", 4) != 2)
+    found = toxicity(docs, labels, with_held_out(docs, 4, 2))
+    return found.select(
+        "doc_id", (crc_part("doc_id", 4) == 2).alias("held_out"), "score", "predicted"
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical texts; the largest id stays."""
     return exact_groups(table(spark, sf_dir, "documents"), stays="largest")
@@ -53,6 +64,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op5_toxicity": op5_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_harmonic_packing": op7_harmonic_packing,
         "op8_mix_sources": op8_mix_sources,
