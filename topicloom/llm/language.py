@@ -163,6 +163,43 @@ def learn(
     return fit(x, [r.lang for r in got])
 
 
+def guesses(model: Model | None, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of texts; ``und`` and 0 for one without a letter or without a model."""
+    has = pc.match_substring_regex(texts.cast(pa.large_string()), r"\p{L}")
+    known = np.asarray(has.fill_null(False), dtype=bool)
+    lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+    if model is not None:
+        guess, sure = model.predict(features(texts))
+        lang, score = np.where(known, guess, lang), np.where(known, sure, score)
+    return lang, score
+
+
+def identified(
+    docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """The rows of ``docs`` whose language is known, all columns as they came but for a null language.
+
+    Rows that are ``und`` (see ``languages``) go; a null language becomes the predicted one. Rows do
+    not move. Learned from the rows that have a language.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(
+        learn(docs, sample, id_col, text_col, lang_col)
+    )
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text_col):
+                lang, _ = guesses(model.value, part.column(text_col))
+                at = part.schema.get_field_index(lang_col)
+                kind = part.schema.field(at).type
+                filled = pc.coalesce(part.column(at), pa.array(lang, pa.string()).cast(kind))
+                part = part.set_column(at, part.schema.field(at), filled)
+                yield part.filter(pa.array(lang != UNKNOWN, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def languages(
     docs: DataFrame,
     learn_from: DataFrame | None = None,
@@ -186,14 +223,7 @@ def languages(
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = part.column(1)
-                has = pc.match_substring_regex(texts.cast(pa.large_string()), r"\p{L}")
-                known = np.asarray(has.fill_null(False))
-                lang = np.full(len(texts), UNKNOWN, object)
-                score = np.zeros(len(texts))
-                if model.value is not None:
-                    guess, sure = model.value.predict(features(texts))
-                    lang, score = np.where(known, guess, lang), np.where(known, sure, score)
+                lang, score = guesses(model.value, part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(lang, pa.string()), pa.array(score)],
                     [id_col, "lang_pred", "score"],
