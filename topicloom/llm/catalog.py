@@ -111,8 +111,7 @@ WITH sized AS (
   FROM weighed
 ), queue AS (
   SELECT r.*, t.total, t.target,
-         sum(r.size) OVER (PARTITION BY r.source ORDER BY r.place, r.doc_id, r.text_hash
-                           ROWS UNBOUNDED PRECEDING) AS done
+         sum(r.size) OVER (PARTITION BY r.source ORDER BY r.place, r.doc_id, r.text_hash) AS done
   FROM sized r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source
 ), passes AS (
   SELECT doc_id, source, text_hash, size, place, ((done + turn * total)::DOUBLE / target) AS finish

@@ -64,25 +64,27 @@ def exact_groups(
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of identical texts: that with the smallest id.
 
-    All columns are returned as they came. Null texts are one group with empty ones. Of several rows
-    with the kept id and text, one of them stays. The rows that are kept are found without moving
-    texts twice: a text is shuffled once to compare bytes, once to pick its row.
+    All columns are returned as they came. Null texts are one group with empty ones. A null id stays
+    only if its group has no other; of several rows with the kept id and text, one of them stays. Texts
+    are shuffled once, and copies that a task has already seen are not shuffled at all.
     """
-    key, row = "_kept_key", "_kept_row"
-    kept = (
-        exact_groups(docs, id_col, text_col)
-        .where("kept")
-        .select(F.col(id_col).alias("_kept_id"), F.unhex("text_sha256").alias("_kept_sha"))
-    )
     names = docs.columns
+    own = F.col(f"`{id_col}`")
+    rest = F.struct(
+        F.col(f"`{text_col}`").isNull().alias("_null"),
+        *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names) if c != text_col),
+    )
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in names)).alias(row),
-        F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias(key),
+        content_hash(text_col).alias("_hash"),
+        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"),
+        F.struct(own.isNull(), own).alias("_order"),
+        rest.alias("_rest"),
     )
-    same = F.col(f"{row}.{id_col}").eqNullSafe(F.col("_kept_id")) & (F.col(key) == F.col("_kept_sha"))
-    once = rows.join(kept, same, "left_semi")
-    # Only rows alike in id and text remain together here, so the groups are as small as those.
-    one = once.groupBy(F.col(f"{row}.{id_col}").alias("_id"), F.col(key).alias("_k")).agg(
-        F.first(row).alias(row)
+    one = rows.groupBy("_hash", "_text").agg(F.min_by("_rest", "_order").alias("_rest"))
+    text = F.when(~F.col("_rest._null"), F.col("_text"))
+    return one.select(
+        *(
+            (text if c == text_col else F.col(f"_rest.c{k}")).alias(c)
+            for k, c in enumerate(names)
+        )
     )
-    return one.select(*(F.col(f"{row}.`{c}`").alias(c) for c in names))

@@ -67,7 +67,8 @@ def mix(
     Returns the id, ``size`` (words), ``source_size``, ``target``, ``taken`` (words, repeats counted)
     and the keys ``_source`` and ``_text`` (128-bit hash of the text). A source ends within about a
     document of its target. Texts that are null or without words have size 0 and are never taken. A
-    null source is a source. Rows alike in id, source and text are interchangeable. No rows give no
+    null source is a source. Rows alike in id, source and text queue up together and are
+    taken equally often. No rows give no
     rows. The same rows give the same mix, however they are partitioned.
 
     Running sums are taken within slices of a source of about 10,000 rows (by the hash, so that a
@@ -114,7 +115,7 @@ def mix(
     within = (
         Window.partitionBy("_source", "_slice")
         .orderBy("_place", "_id", "_text")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     summed = placed.withColumn("_sum", F.sum("_size").over(within)).join(
         starts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_slice") == F.col("_k"))
@@ -198,29 +199,29 @@ def mixed(
 
     All columns are returned as they came. See ``mix`` for the settings and the cases.
     """
-    row, key = "_mixed_row", "_mixed_key"
     picks = (
         mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
         .where("copies > 0")
         .groupBy(F.col(id_col).alias("_id"), "_source", "_text")
-        .agg(F.sum("copies").alias("_copies"))
+        .agg(F.max("copies").alias("_copies"))
+    )
+    same = (
+        F.col("_row._id").eqNullSafe(F.col("_id"))
+        & F.col("_row._from").eqNullSafe(F.col("_source"))
+        & (F.col("_key") == F.col("_text"))
     )
     names = docs.columns
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in names)).alias(row),
-        F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias(key),
-    )
-    alike = rows.groupBy(
-        F.col(f"{row}.{id_col}").alias("_i"), F.col(f"{row}.{source_col}").alias("_s"), key
-    ).agg(F.first(row).alias(row))
-    same = (
-        F.col("_i").eqNullSafe(F.col("_id"))
-        & F.col("_s").eqNullSafe(F.col("_source"))
-        & (F.col(key) == F.col("_text"))
+        F.struct(
+            F.col(f"`{id_col}`").alias("_id"),
+            F.col(f"`{source_col}`").alias("_from"),
+            *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)),
+        ).alias("_row"),
+        F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_key"),
     )
-    times = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
     return (
-        alike.join(picks, same)
-        .select(row, times.alias("_time"))
-        .select(*(F.col(f"{row}.`{c}`").alias(c) for c in names))
+        rows.join(picks, same)
+        .select("_row", times.alias("_time"))
+        .select(*(F.col(f"_row.c{k}").alias(c) for k, c in enumerate(names)))
     )
