@@ -13,6 +13,7 @@ from topicloom.llm.exact import exact_groups
 from topicloom.llm.jaccard import jaccard_components
 from topicloom.llm.language import languages, with_held_out
 from topicloom.llm.mixing import mix
+from topicloom.llm.multiset import edited_fingerprints
 from topicloom.llm.packing import byte_bpe, packed
 from topicloom.llm.sampling import crc_part
 from topicloom.llm.toxicity import toxicity
@@ -21,6 +22,11 @@ from topicloom.sources.testdata import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from three quarters of them and their labels."""
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +70,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op2_multiset_hash": op2_multiset_hash,
         "op5_toxicity": op5_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_harmonic_packing": op7_harmonic_packing,
