@@ -15,6 +15,7 @@ from topicloom.llm.language import languages, with_held_out
 from topicloom.llm.mixing import mix
 from topicloom.llm.multiset import edited_fingerprints
 from topicloom.llm.packing import byte_bpe, packed
+from topicloom.llm.quotes import linked_conversations
 from topicloom.llm.sampling import crc_part
 from topicloom.llm.toxicity import toxicity
 from topicloom.sources.testdata import table
@@ -27,6 +28,11 @@ def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in reply order, without quotes."""
+    return linked_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from three quarters of them and their labels."""
     docs = table(spark, sf_dir, "documents")
@@ -71,6 +77,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op2_multiset_hash": op2_multiset_hash,
+        "op4_quotation_linking": op4_quotation_linking,
         "op5_toxicity": op5_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_harmonic_packing": op7_harmonic_packing,
