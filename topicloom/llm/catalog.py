@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.llm import ngram_lm
 from topicloom.llm.exact import exact_groups
 from topicloom.llm.jaccard import jaccard_components
 from topicloom.llm.language import languages, with_held_out
@@ -23,6 +24,16 @@ from topicloom.sources.testdata import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_part("doc_id", 5) == 1
+    found = ngram_lm.score(docs, ngram_lm.fit(docs.where(~held_out)))
+    return found.withColumn("held_out", held_out).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return edited_fingerprints(table(spark, sf_dir, "documents"))
@@ -76,6 +87,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_ngram_trie": op1_ngram_trie,
         "op2_multiset_hash": op2_multiset_hash,
         "op4_quotation_linking": op4_quotation_linking,
         "op5_toxicity": op5_toxicity,

@@ -16,23 +16,21 @@ input), then by hash. Any order gives the same result; rare first makes the grou
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from topicloom.llm.components import components
+from topicloom.llm.counters import SCHEMA, counter_rows, summed
 from topicloom.llm.words import shingle_sets, slices
 from topicloom.session import saved
 
 COUNTERS = 1 << 20  # 4 MB
-CHUNKS = 64
 BLOCK = 512
 LANES = 128  # of a set's histogram, by the highest bits of its hashes
 
@@ -47,28 +45,10 @@ def shingle_counters(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
                 sets = shingle_sets(part.column("text"), size)
                 places = np.concatenate(sets) & np.uint64(COUNTERS - 1)
                 table += np.bincount(places.astype(np.int64), minlength=COUNTERS)
-        salt = TaskContext.get().partitionId() % 256
-        for k, chunk in enumerate(np.split(table, CHUNKS)):
-            if chunk.any():
-                packed = zlib.compress(chunk.tobytes(), 1)
-                yield pa.RecordBatch.from_pydict(
-                    {"chunk": pa.array([k], pa.int32()), "salt": pa.array([salt], pa.int32()),
-                     "counts": [packed]}
-                )
+        yield from counter_rows(table)
 
-    def add(pdf):
-        total = np.zeros(COUNTERS // CHUNKS, np.int64)
-        for packed in pdf["counts"]:
-            total += np.frombuffer(zlib.decompress(packed), np.int64)
-        return pdf.head(1).assign(counts=[zlib.compress(total.tobytes(), 1)])
-
-    schema = "chunk int, salt int, counts binary"
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, schema)
-    summed = counted.groupBy("chunk", "salt").applyInPandas(add, schema)
-    table = np.zeros((CHUNKS, COUNTERS // CHUNKS), np.int64)
-    for row in summed.groupBy("chunk").applyInPandas(add, schema).collect():  # 64 rows at most
-        table[row.chunk] = np.frombuffer(zlib.decompress(bytes(row.counts)), np.int64)
-    return np.minimum(table.ravel(), (1 << 32) - 1).astype(np.uint32)
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, SCHEMA)
+    return np.minimum(summed(counted, COUNTERS), (1 << 32) - 1).astype(np.uint32)
 
 
 def shingle_prefixes(
