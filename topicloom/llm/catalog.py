@@ -19,6 +19,7 @@ from topicloom.llm.packing import byte_bpe, packed
 from topicloom.llm.quotes import linked_conversations
 from topicloom.llm.sampling import crc_part
 from topicloom.llm.toxicity import toxicity
+from topicloom.llm.windows import repeated_passages
 from topicloom.sources.testdata import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,11 @@ def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that several documents share."""
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations in reply order, without quotes."""
     return linked_conversations(table(spark, sf_dir, "conversations"))
@@ -89,6 +95,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_ngram_trie": op1_ngram_trie,
         "op2_multiset_hash": op2_multiset_hash,
+        "op3_compact_windows": op3_compact_windows,
         "op4_quotation_linking": op4_quotation_linking,
         "op5_toxicity": op5_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
