@@ -1,7 +1,7 @@
 """N-gram Jaccard join: rare-first prefixes, length, positional and suffix filters, one check a pair.
 
 The sets are the distinct word shingles of whole texts. Documents with equal sets are one class, so
-copies never meet each other. A class is a vertex; two classes link when their sets are similar
+copies never meet each other (a task sends one prefix for all it has). A class is a vertex; two classes link when their sets are similar
 enough. What is asked for is each document's connected component, and for that a pair need not be
 looked at when other links already join its two sides:
 
@@ -32,6 +32,8 @@ from topicloom.session import saved
 
 COUNTERS = 1 << 20  # 4 MB
 BLOCK = 512
+WANTED = 1 << 22  # bits of a bitmap of keys
+BUCKET = 1 << 15  # of them in one of Spark's bitmaps
 LANES = 128  # of a set's histogram, by the highest bits of its hashes
 
 
@@ -51,32 +53,46 @@ def shingle_counters(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
     return np.minimum(summed(counted, COUNTERS), (1 << 32) - 1).astype(np.uint32)
 
 
+def _key(s: np.ndarray) -> int:
+    """A set's 64-bit hash, signed."""
+    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes()))))
+
+
+def _lanes(s: np.ndarray) -> bytes:
+    """How many hashes a set has in each lane, 255 for more."""
+    counts = np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=LANES)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def shingle_prefixes(
     docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
 ) -> DataFrame:
-    """Each document's ``key`` (128-bit hash of its set), ``n``, rare-first ``prefix`` and histogram."""
+    """Each document's ``key`` (64-bit hash of its set), ``n``, rare-first ``prefix`` and ``lanes``.
+
+    Of documents with equal sets only the first of a task has a prefix and lanes.
+    """
     spark = docs.sparkSession
     counters = spark.sparkContext.broadcast(shingle_counters(docs, text_col, size))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = counters.value
+        table, known = counters.value, set()
         for batch in batches:
             for part in slices(batch, "text"):
                 keys, sizes, rare, lanes = [], [], [], []
                 for s in shingle_sets(part.column("text"), size):
                     n = len(s)
-                    keep = n - -(-percent * n // 100) + 1 if n else 0
+                    keys.append(_key(s))
+                    sizes.append(n)
+                    keep = n - -(-percent * n // 100) + 1 if n and keys[-1] not in known else 0
+                    known.add(keys[-1])
                     df = table[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
                     order = np.argsort(df, kind="stable")[:keep]
-                    keys.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    sizes.append(n)
                     rare.append(s[order].view(np.int64))
-                    counts = np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=LANES)
-                    lanes.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+                    lanes.append(_lanes(s) if keep else None)
                 ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
                 values = pa.array(np.concatenate(rare) if rare else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()),
+                    [part.column("_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()),
                      pa.ListArray.from_arrays(pa.array(ends), values), pa.array(lanes, pa.binary())],
                     ["_id", "key", "n", "prefix", "lanes"],
                 )
@@ -84,11 +100,49 @@ def shingle_prefixes(
     named = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     schema = StructType(
         [StructField("_id", docs.schema[id_col].dataType)]
-        + StructType.fromDDL("key binary, n int, prefix array<bigint>, lanes binary").fields
+        + StructType.fromDDL("key bigint, n int, prefix array<bigint>, lanes binary").fields
     )
     return named.mapInArrow(prefixes, schema)
 
 
+def wanted_sets(
+    docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int
+) -> DataFrame:
+    """``key`` and ``shingles`` of the sets in ``wanted`` (``key`` and ``rep``, the id of a document).
+
+    What is wanted is sent to all tasks as a bitmap of fixed size, so that the texts stay where they
+    are. A few other sets only fall on the same bits; they meet no pair in a join.
+    """
+    place = F.pmod(F.col("key").bitwiseXOR(F.xxhash64("rep")), F.lit(WANTED)) + 1
+    bits = (
+        wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        .collect()  # WANTED bits at most
+    )
+    table = np.zeros((WANTED // BUCKET, BUCKET // 8), np.uint8)
+    for row in bits:
+        table[row.bucket - 1] = np.frombuffer(bytes(row.bits), np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(table.ravel())
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value
+        for batch in batches:
+            for part in slices(batch, "text"):
+                keys, sets = [], []
+                ids = part.column("hash").to_pylist()
+                for s, hash_ in zip(shingle_sets(part.column("text"), size), ids, strict=True):
+                    key = _key(s)
+                    at = (key ^ hash_) % WANTED
+                    if bitmap[at >> 3] >> (at & 7) & 1:
+                        keys.append(key)
+                        sets.append(s.tobytes())
+                columns = [pa.array(keys, pa.int64()), pa.array(sets, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "shingles"])
+
+    hashed = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("hash"))
+    return hashed.mapInArrow(whole, "key bigint, shingles binary")
+
+
 def _may_link(n, m, p, q, lanes_n, lanes_m, percent: int) -> np.ndarray:
     """Length, positional and suffix filter for arrays of pairs with a common shingle at p and q.
 
@@ -116,13 +170,12 @@ def _numbers(batch: pa.RecordBatch | pa.Table, name: str) -> np.ndarray:
         batch, pa.RecordBatch) else batch.column(name).to_numpy().astype(np.int64)
 
 
-PAIR = "a binary, b binary"
+PAIR = "a bigint, b bigint"
 
 
-def _pairs(x: list[bytes], y: list[bytes]) -> pa.RecordBatch:
-    a = [min(p) for p in zip(x, y, strict=True)]
-    b = [max(p) for p in zip(x, y, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+def _pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
 def leader_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -137,8 +190,7 @@ def leader_pairs(members: DataFrame, percent: int) -> DataFrame:
             first, second = _column(batch, "lanes", LANES), _column(batch, "lanes2", LANES)
             n, m, p, q = (_numbers(batch, c) for c in ("n", "n2", "pos", "pos2"))
             ok = _may_link(n, m, p, q, lambda i, a=first: a[i], lambda i, b=second: b[i], percent)
-            batch = batch.filter(pa.array(ok))
-            yield _pairs(batch.column("key").to_pylist(), batch.column("key2").to_pylist())
+            yield _pairs(_numbers(batch, "key")[ok], _numbers(batch, "key2")[ok])
 
     both = members.join(leaders, "x").where(F.col("key") != F.col("key2"))
     return both.drop("x").mapInArrow(keep, PAIR).distinct()
@@ -167,26 +219,25 @@ def block_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFram
 
     def compare(table: pa.Table) -> pa.RecordBatch:
         rows = table.num_rows
-        x, i, j, block, n, pos = (_numbers(table, c) for c in ("x", "i", "j", "block", "n", "pos"))
-        label = _column(table, "label", 16).view(np.uint64)
+        names = ("x", "i", "j", "block", "n", "pos", "key", "label")
+        x, i, j, block, n, pos, keys, label = (_numbers(table, c) for c in names)
         lanes = _column(table, "lanes", LANES)
-        keys = table.column("key").to_pylist()
         group = np.cumsum(
             np.append(0, (x[1:] != x[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
         )
-        left, right = [], []
+        left, right = [keys[:0]], [keys[:0]]
         for step in range(1, rows):
             a = np.flatnonzero(group[:-step] == group[step:])
             if not len(a):
                 break
             b = a + step
-            apart = (label[a] != label[b]).any(axis=1) & ((i[a] == j[a]) | (block[a] != block[b]))
+            apart = (label[a] != label[b]) & ((i[a] == j[a]) | (block[a] != block[b]))
             a, b = a[apart], b[apart]
             ok = _may_link(n[a], n[b], pos[a], pos[b], lambda k, a=a: lanes[a[k]],
                            lambda k, b=b: lanes[b[k]], percent)
-            left += [keys[k] for k in a[ok]]
-            right += [keys[k] for k in b[ok]]
-        return _pairs(left, right)
+            left.append(keys[a[ok]])
+            right.append(keys[b[ok]])
+        return _pairs(np.concatenate(left), np.concatenate(right))
 
     def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -243,53 +294,41 @@ def jaccard_components(
     words is one shingle. A text that is null or has no words has no shingles and links with nothing,
     nor does a document count as linked with others without words. Texts are read whole. Documents
     with equal sets always link; null ids do not name a component unless there is no other id in it.
-    An id that comes twice counts for each of its texts. No rows give no rows.
+    An id that comes twice counts for each of its texts. No rows give no rows. Sets are told apart by
+    64-bit hashes: of n different ones about n * n / 2**65 pairs would be taken for equal.
     """
     sets = saved(shingle_prefixes(docs, id_col, text_col, size, percent), "prefixes")
-    classes = (
-        sets.where("n > 0")
-        .groupBy("key")
-        .agg(F.min("_id").alias("rep"), *(F.first(c).alias(c) for c in ("n", "prefix", "lanes")))
-    )
-    classes = saved(classes, "classes")
+    entries = sets.select("key", "n", F.posexplode("prefix").alias("pos", "x"))
+    ends = entries.groupBy("x").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    several = saved(ends.where("low != high").select("x"), "shared")
+    shared = saved(entries.join(several, "x", "left_semi").distinct(), "members")
     # The leader of a shingle: the class with the fewest rarer shingles, then by hash.
     rank = F.col("pos").cast("bigint") * (1 << 40) + F.pmod(F.xxhash64("key"), F.lit(1 << 40))
-    entries = classes.select("key", "n", "lanes", F.posexplode("prefix").alias("pos", "x"))
-    groups = (
-        entries.select("x", rank.alias("rank"))
-        .groupBy("x")
-        .agg(F.count("*").alias("count"), F.min("rank").alias("first"))
-        .where("count > 1")
-    )
-    groups = saved(groups, "shared")
-    shared = entries.select("key", "n", "pos", "x", rank.alias("rank")).join(groups, "x")
-    shared = saved(
-        shared.withColumn("leads", F.col("rank") == F.col("first")).drop("rank", "first"), "members"
-    )
-    with_lanes = shared.join(classes.select("key", "lanes"), "key")
-    involved = shared.select("key").distinct().join(classes.select("key", "rep"), "key")
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(
-        involved, F.col("_id").eqNullSafe(F.col("rep")), "left_semi"
+    groups = shared.groupBy("x").agg(F.count("*").alias("count"), F.min(rank).alias("first"))
+    lanes = sets.where("lanes IS NOT NULL").groupBy("key").agg(F.first("lanes").alias("lanes"))
+    members = (
+        shared.join(saved(groups, "groups"), "x")
+        .withColumn("leads", rank == F.col("first"))
+        .drop("first")
+        .join(lanes, "key")
     )
+    members = saved(members, "members_lanes")
+    classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("rep"))
+    classes = saved(classes, "classes")
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found = [s.tobytes() for s in shingle_sets(part.column("text"), size)]
-                keys = [xxhash.xxh3_128_digest(s) for s in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), pa.array(found, pa.binary())], ["key", "shingles"]
-                )
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs that are similar enough, each compared once."""
+        keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+        wanted = saved(classes.join(keys, "key"), f"{name}_wanted")
+        whole = saved(wanted_sets(docs, wanted, id_col, text_col, size), f"{name}_sets")
+        return saved(verified(pairs, whole, percent), f"{name}_links")
 
-    whole_sets = saved(texts.select("text").mapInArrow(whole, "key binary, shingles binary"), "sets")
-    members = saved(with_lanes, "members_lanes")
     first = saved(leader_pairs(members, percent), "leader_pairs")
-    links = saved(verified(first, whole_sets, percent), "leader_links")
-    joined = components(links)
-    rest = block_pairs(members, joined, percent).join(first, ["a", "b"], "left_anti")
-    more = saved(verified(saved(rest, "block_pairs"), whole_sets, percent), "block_links")
+    links = linked(first, "leader")
+    rest = block_pairs(members, components(links), percent).join(first, ["a", "b"], "left_anti")
+    more = linked(saved(rest, "block_pairs"), "block")
     labels = components(links.union(more)).withColumnRenamed("vertex", "key")
-    named = classes.select("key", "rep").join(labels, "key", "left")
+    named = classes.join(labels, "key", "left")
     named = saved(named.withColumn("label", F.coalesce("label", "key")), "labelled")
     least = saved(named.groupBy("label").agg(F.min("rep").alias("component_id")), "least")
     of_key = saved(named.join(least, "label").select("key", "component_id"), "of_key")
