@@ -6,6 +6,10 @@ from topicloom.functions.vocabulary import TOPICS
 from topicloom.plans import catalog as c
 
 
+def _hash60(text: str) -> str:
+    return f"CAST('0x' || substr(md5(CAST({text} AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
 def _hash(text: str) -> str:
     return f"CAST('0x' || substr(md5(CAST({text} AS VARCHAR)), 1, 8) AS BIGINT)"
 
@@ -72,14 +76,13 @@ def _edges(activity: str, index: str) -> str:
     return f"""
         SELECT d.event_id, d.usr, u.usr AS follow
         FROM (SELECT event_id, usr,
-                     ({_hash("'s' || event_id")}
-                      + i * (1 + {_hash("'p' || event_id")} % ((n - 1) // 4))) % n AS idx
+                     ({_hash60("'s' || event_id")}
+                      + i * (1 + {_hash60("'p' || event_id")} % ((n - 1) // 4))) % n AS idx
               FROM {activity}, (SELECT count(*) AS n FROM {index}), range(5) r(i)) d
         JOIN {index} u ON u.idx = d.idx"""
 
 
 EVENT_TABLES["edges"] = _edges("activity", "users")
-EVENT_TABLES["edges_coded_users"] = _edges("activity_coded", "users_coded")
 EVENT_TABLES["edges_coded"] = _edges("activity_coded", "entries_coded")
 
 # Tables of the order binding.
@@ -97,6 +100,12 @@ STAR_TABLES = {
         SELECT usr, row_number() OVER (ORDER BY usr) - 1 AS idx
         FROM (SELECT DISTINCT usr FROM star_orders)""",
     "edges": _edges("star_orders", "users"),
+    "given": """
+        SELECT o_custkey AS usr, l_suppkey AS follow
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "supplier_counts": """
+        SELECT l_suppkey AS usr, CAST(l_shipdate AS DATE) AS day, p_type AS topic, count(*) AS n
+        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
 }
 
 
@@ -112,26 +121,17 @@ def _star(query: str) -> str:
     return _with(STAR_TABLES, "\n" + query)
 
 
-def _lists(source: str, keys: str, item: str, name: str, max_items=10_000, floor=100_000) -> str:
-    """Lists in parts, with the hot keys spread over salts."""
-    on = " AND ".join(f"s.{key} = k.{key}" for key in keys.split(", "))
-    of_k = ", ".join(f"k.{key}" for key in keys.split(", "))
+def _lists(source: str, keys: str, item: str, name: str, max_items=10_000) -> str:
+    """Lists in parts, cut by the items' places."""
     return f"""
-        SELECT {keys}, CAST(salt + salts * chunk AS BIGINT) AS part,
+        SELECT {keys}, CAST(place // {max_items} AS BIGINT) AS part,
                array_to_string(list({item} ORDER BY {item}), ',') AS {name},
                array_to_string(list(n ORDER BY {item}), ',') AS counts,
                CAST(sum(n) AS BIGINT) AS n
-        FROM (SELECT *, (row_number() OVER (PARTITION BY {keys}, salt ORDER BY {item}) - 1)
-                        // {max_items} AS chunk
-              FROM (SELECT {of_k}, k.{item}, k.n, s.salts, {_hash(f'k.{item}')} % s.salts AS salt
-                    FROM {source} k
-                    JOIN (SELECT {keys}, CASE WHEN size > {floor} AND place <= 4096
-                                              THEN least(CAST(ceil(size / {floor}) AS BIGINT), 4096)
-                                              ELSE 1 END AS salts
-                          FROM (SELECT {keys}, CAST(count(*) AS DOUBLE) AS size,
-                                       row_number() OVER (ORDER BY count(*) DESC, {keys}) AS place
-                                FROM {source} GROUP BY {keys})) s ON {on}))
-        GROUP BY {keys}, salt, salts, chunk"""
+        FROM (SELECT {keys}, {item}, n,
+                     row_number() OVER (PARTITION BY {keys} ORDER BY {item}) - 1 AS place
+              FROM {source})
+        GROUP BY {keys}, part"""
 
 
 def _date(day) -> str:
@@ -238,7 +238,7 @@ def oracle_queries() -> dict[str, str]:
         ),
         "network_topics": _events(_network("counts", "edges", user, c.START, c.END)),
         "network_topics_coded": _events(
-            _network("counts_coded", "edges_coded_users", user, c.START, c.END)
+            _network("counts_coded", "edges_coded", user, c.START, c.END)
         ),
         "network_topics_star": _star(
             _network("counts", "edges", str(c.STAR_USER), c.STAR_START, c.STAR_END)
@@ -259,4 +259,22 @@ def oracle_queries() -> dict[str, str]:
         "publish_user_user": _events(follow_lists),
         "publish_user_topic": _events(topic_lists),
         "publish_topic_user": _events(user_lists),
+        "publish_user_user_late": _events(follow_lists),
+        "publish_user_topic_emptied": _events(
+            f"SELECT * FROM ({topic_lists}) WHERE NOT ({_within(c.START, c.END)})"
+        ),
+        "user_user_given": _star(follow_lists.replace("FROM edges", "FROM given")),
+        "popular_users_given": _star(
+            f"""SELECT follow, count(DISTINCT usr) AS n FROM given
+                GROUP BY follow HAVING count(DISTINCT usr) > {c.MORE_THAN}"""
+        ),
+        "network_topics_given": _star(
+            _network("supplier_counts", "given", str(c.STAR_USER), c.STAR_START, c.STAR_END)
+        ),
+        "network_topic_users_given": _star(
+            _first(
+                "supplier_counts", c.STAR_TOPIC, c.STAR_START, c.STAR_END,
+                f"AND usr IN (SELECT follow FROM given WHERE usr = {c.STAR_USER})",
+            )
+        ),
     }

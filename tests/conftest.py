@@ -11,10 +11,13 @@ from topicloom.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "tests", **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8"}
+        "tests",
+        **{
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
+        },
     )
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -6,12 +6,13 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from oracle import oracle_queries
+from topicloom.plans.catalog import catalog
 
 SF_DIRS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
 TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DATE": "date", "DOUBLE": "double"}
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog()
+ORACLE = oracle_queries()
 
 
 # Rows at sf0.001 and sf0.01, from FIXTURES.md.
@@ -35,8 +36,6 @@ ROWS = {
     "user_index": (15, 150),
     "follow_edges": (1_800, 17_690),
     "follow_edges_coded": (1_840, 17_930),
-    "network_topics": (25, 73),
-    "network_topics_coded": (94, 177),
     "topic_vocabulary": (177, 177),
 }
 # With 15 users nobody has that many followers, and nobody followed has the topic.

@@ -5,7 +5,6 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from topicloom.operators import skew
 from topicloom.operators.lists import bounded_lists, unnest
 from topicloom.operators.skew import hot_keys, skew_join
 
@@ -27,13 +26,6 @@ def test_hot_keys(skewed):
     assert [(r.key, r.salts) for r in rows] == [("hot", -(-size // 1_000))]
 
 
-def test_number_of_hot_keys_and_salts_is_bounded(skewed, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_KEYS", 3)
-    monkeypatch.setattr(skew, "MAX_SALTS", 4)
-    rows = hot_keys(skewed, ["key"], floor=10).collect()
-    assert len(rows) == 3 and rows[0].key == "hot" and {r.salts for r in rows} == {4}
-
-
 @pytest.mark.parametrize("fan_out", [False, True])
 def test_skew_join_equals_join(skewed, spark, fan_out):
     keys = skewed.select("key").where("key IS NOT NULL").distinct()
@@ -62,13 +54,14 @@ def test_hot_key_is_spread_over_tasks(skewed, spark):
 
 def test_lists_are_bounded_and_whole(skewed):
     counted = skewed.groupBy("key", "v").agg(F.lit(2).cast("bigint").alias("n"))
-    lists = bounded_lists(counted, ["key"], "v", "vs", max_items=64, floor=1_000).persist()
+    lists = bounded_lists(counted, ["key"], "v", "vs", max_items=64).persist()
     rows = lists.collect()
     assert max(len(r.vs) for r in rows) == 64
     assert all(len(r.vs) == len(r.counts) and r.n == sum(r.counts) for r in rows)
     assert all(list(r.vs) == sorted(r.vs) for r in rows)
     assert len({(r.key, r.part) for r in rows}) == len(rows)
-    assert len({r.part for r in rows if r.key == "hot"}) > 150
+    hot = sorted(r.part for r in rows if r.key == "hot")
+    assert hot == list(range(len(hot))) and len(hot) > 150
     back = Counter(tuple(r) for r in unnest(lists, "vs", "v").select("key", "v", "n").collect())
     expected = Counter(tuple(r) for r in counted.where("key IS NOT NULL").select("key", "v", "n").collect())
     assert back == expected
@@ -76,7 +69,7 @@ def test_lists_are_bounded_and_whole(skewed):
 
 def test_lists_do_not_depend_on_row_order(skewed):
     counted = skewed.groupBy("key", "v").agg(F.count(F.lit(1)).alias("n"))
-    limits = {"max_items": 64, "floor": 1_000}
+    limits = {"max_items": 64}
     one = bounded_lists(counted, ["key"], "v", "vs", **limits)
     other = bounded_lists(counted.repartition(13, "v"), ["key"], "v", "vs", **limits)
 
@@ -84,21 +77,3 @@ def test_lists_do_not_depend_on_row_order(skewed):
         return sorted((r.key, r.part, tuple(r.vs)) for r in df.collect())
 
     assert rows(one) == rows(other)
-
-
-def test_short_lists_need_no_cutting(skewed):
-    counted = skewed.select("key", (F.col("v") % 5).alias("v")).groupBy("key", "v").agg(F.count("*").alias("n"))
-    short = bounded_lists(counted, ["key"], "v", "vs", most_items=5)
-    assert sorted(map(tuple, short.collect())) == sorted(
-        map(tuple, bounded_lists(counted, ["key"], "v", "vs").collect())
-    )
-    long = bounded_lists(counted, ["key"], "v", "vs", max_items=4, most_items=5)
-    assert max(len(r.vs) for r in long.collect()) == 4
-
-
-def test_hot_keys_counted_elsewhere(skewed):
-    counted = skewed.groupBy("key", "v").agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(skewed.na.drop(), ["key"], floor=1_000)
-    given = bounded_lists(counted, ["key"], "v", "vs", hot=hot)
-    own = bounded_lists(counted, ["key"], "v", "vs", floor=1_000)
-    assert sorted(map(tuple, given.collect())) == sorted(map(tuple, own.collect()))

@@ -13,7 +13,7 @@ from topicloom.operators.lists import unnest
 from topicloom.plans import lookup
 from topicloom.plans.daily import run_days
 from topicloom.session import scratch_path
-from topicloom.sources.events import read_events
+from topicloom.sources.events import broken_lines, read_events, stored_events
 from topicloom.sources.tables import publish_days, publish_latest, read_latest, table_or_none
 from topicloom.sources.testdata import raw_events
 
@@ -176,3 +176,45 @@ def test_lookup_reads_only_the_days_and_rows_asked_for(spark, daily):
     )
     plan = rows_of_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "EqualTo(topic,Perl 6)" in plan
+
+
+def test_late_run_is_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def lists(*values):
+        return spark.createDataFrame(values, "usr string, part long, follows string")
+
+    for run, usr in ((1, "a"), (5, "b"), (3, "c")):
+        publish_latest(lists((usr, 0, "x")), path, "usr", run)
+    assert [r.usr for r in read_latest(spark, path).orderBy("usr").collect()] == ["a", "b", "c"]
+
+
+def test_emptied_day_goes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.createDataFrame([("a", DAYS[0]), ("b", DAYS[1])], "usr string, day date")
+    publish_days(days, path, "usr")
+    publish_days(days.where("usr = 'a'"), path, "usr", covered=(DAYS[0], DAYS[1]))
+    assert [r.usr for r in spark.read.parquet(path).collect()] == ["a"]
+
+
+def test_broken_lines_are_counted_and_left_out(spark, tmp_path):
+    lines = ['{"type":"ForkEvent","event_id":1}', '{"type":', "no json"]
+    (tmp_path / "e.json").write_text("\n".join(lines) + "\n")
+    stored = stored_events(spark, str(tmp_path / "e.json"), str(tmp_path / "none*"))
+    assert broken_lines(stored).first()[:2] == (3, 2)
+    assert read_events(spark, str(tmp_path / "e.json")).count() == 1
+
+
+def test_given_follows_and_repos_are_published(spark, daily, tmp_path):
+    raw, _ = daily
+    raw.write.json(str(tmp_path / "events"))
+    given = spark.createDataFrame([("u8", "u1"), ("u8", "u1"), ("u8", "u2"), (None, "u3")], "usr string, follow string")
+    out = str(tmp_path / "out")
+    account = run_days(
+        spark, [str(tmp_path / "events")], out, date(2024, 1, 1), date(2024, 1, 20), 1, follows_of=given
+    )
+    assert account["broken"] == 0 and account["other_days"] > 0
+    assert [tuple(r.follows) for r in read_latest(spark, f"{out}/useruser").collect()] == [("u1", "u2")]
+    repos = lookup.repos_of_user(spark, out, "u8", "Tue Jan 02 2024", "Sat Jan 20 2024")
+    activity = spark.read.parquet(f"{out}/activity").where("usr = 'u8' AND day > '2024-01-02' AND day < '2024-01-20'")
+    assert {r.repo for r in repos.collect()} == {r.repo for r in activity.collect()} != set()

@@ -6,15 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from topicloom.functions.text import hash32, hash60
+from topicloom.functions.text import hash60
 from topicloom.operators.lists import bounded_lists
-from topicloom.operators.skew import hot_keys
 from topicloom.session import saved
 
 # Fixed value: followed users drawn per activity.
 DRAWS = 5
-# Up to this many entries a 32-bit hash draws them evenly, to within half a percent.
-EVEN_FOR_32_BITS = 1 << 24
 
 
 def dense_index(rows: DataFrame, order: str) -> DataFrame:
@@ -63,9 +60,8 @@ def follow_edges(activity: DataFrame, index: DataFrame) -> DataFrame:
     size = index.count()
     if size < DRAWS:
         raise ValueError(f"cannot draw {DRAWS} of {size} users")
-    number = hash32 if size <= EVEN_FOR_32_BITS else hash60
-    first = number(F.concat(F.lit("s"), F.col("event_id").cast("string")))
-    step = number(F.concat(F.lit("p"), F.col("event_id").cast("string"))) % ((size - 1) // 4) + 1
+    first = hash60(F.concat(F.lit("s"), F.col("event_id").cast("string")))
+    step = hash60(F.concat(F.lit("p"), F.col("event_id").cast("string"))) % ((size - 1) // 4) + 1
     positions = [(F.col("first") + i * F.col("step")) % size for i in range(DRAWS)]
     draws = activity.select("event_id", "usr", first.alias("first"), step.alias("step")).select(
         "event_id", "usr", F.explode(F.array(*positions)).alias("idx")
@@ -78,14 +74,9 @@ def follow_counts(edges: DataFrame) -> DataFrame:
     return edges.groupBy("usr", "follow").agg(F.count(F.lit(1)).alias("n"))
 
 
-def user_user(edges: DataFrame, activity: DataFrame | None = None, **limits) -> DataFrame:
-    """User to the list of followed users.
-
-    The very active users are those with many edges; they are found with less work in the stored
-    ``activity`` that the edges were drawn for.
-    """
-    hot = None if activity is None else hot_keys(activity, ["usr"], F.lit(DRAWS))
-    return bounded_lists(follow_counts(edges), ["usr"], "follow", "follows", hot=hot, **limits)
+def user_user(edges: DataFrame, **limits) -> DataFrame:
+    """User to the list of followed users, from ``usr, follow``; ``n`` counts repeated rows."""
+    return bounded_lists(follow_counts(edges), ["usr"], "follow", "follows", **limits)
 
 
 def popular_users(edges: DataFrame, more_than: int) -> DataFrame:

@@ -9,57 +9,50 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from topicloom.functions.nulls import all_present
-from topicloom.functions.text import hash32
-from topicloom.operators.skew import HOT_FLOOR, each_row, hot_keys
+from topicloom.session import saved
 
 MAX_ITEMS = 10_000
 
 
 def bounded_lists(
-    counted: DataFrame,
-    keys: Sequence[str],
-    item: str,
-    name: str,
-    max_items: int = MAX_ITEMS,
-    floor: int = HOT_FLOOR,
-    most_items: int | None = None,
-    hot: DataFrame | None = None,
+    counted: DataFrame, keys: Sequence[str], item: str, name: str, max_items: int = MAX_ITEMS
 ) -> DataFrame:
     """Lists per key from rows ``keys, item, n`` that hold each item of a key once.
 
     A list is a bag: ``name`` has each item once, in order, and ``counts`` how often it occurs;
-    ``n`` is the size of the bag. No array is longer than ``max_items``: longer lists continue
-    in further parts, and the items of a hot key are first spread over tasks by a hash.
+    ``n`` is the sum of the part's counts. No array is longer than ``max_items``: part k holds the
+    items from place k * ``max_items`` on, so parts depend on the key's own items alone.
 
-    ``most_items`` is a known bound on the items of one key; if lists cannot get too long, nothing
-    has to be spread or cut. ``hot`` are hot keys counted elsewhere.
+    The rows are dealt into ranges of key and item, so a key has as many tasks as it needs. They are
+    numbered within their range, and what a key has in earlier ranges, one row per range, is added.
     """
-    counted = counted.where(all_present(*keys))
+    ranges = (
+        counted.where(all_present(*keys))
+        .select(*keys, item, "n")
+        .repartitionByRange(*keys, item)
+        .withColumn("chunk", F.spark_partition_id())
+    )
+    dealt = saved(ranges, "lists")  # ranges come from a sample and are read twice
+    within = Window.partitionBy(*keys, "chunk").orderBy(item)
+    before = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        dealt.groupBy(*keys, "chunk")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+        .drop("size")
+    )
+    place = F.col("start") + F.col("row") - 1
     bag = F.sort_array(F.collect_list(F.struct(item, "n"))).alias("bag")
-    total = F.sum("n").alias("total")
-    if most_items is not None and most_items <= max_items:
-        lists = counted.groupBy(*keys).agg(bag, total)
-        part = F.lit(0)
-    else:
-        if hot is None:
-            hot = hot_keys(counted, keys, each_row(F.col("n")), floor)
-        salts = F.coalesce(F.col("salts"), F.lit(1))
-        # Only the items of hot keys are hashed.
-        salt = F.when(salts > 1, hash32(F.col(item)) % salts).otherwise(F.lit(0))
-        spread = (
-            counted.join(F.broadcast(hot), list(keys), "left")
-            .withColumn("salt", salt)
-            .withColumn("salts", salts)
-        )
-        # One shuffle serves the numbering and the grouping: both are clustered by keys and salt.
-        order = Window.partitionBy(*keys, "salt").orderBy(item)
-        chunk = F.floor((F.row_number().over(order) - 1) / F.lit(max_items))
-        chunks = spread.withColumn("chunk", chunk)
-        lists = chunks.groupBy(*keys, "salt", "salts", "chunk").agg(bag, total)
-        part = F.col("salt") + F.col("salts") * F.col("chunk")
+    lists = (
+        dealt.withColumn("row", F.row_number().over(within))
+        .join(starts, [*keys, "chunk"])
+        .withColumn("part", F.floor(place / F.lit(max_items)))
+        .groupBy(*keys, "part")
+        .agg(bag, F.sum("n").alias("total"))
+    )
     return lists.select(
         *keys,
-        part.cast("bigint").alias("part"),
+        F.col("part").cast("bigint").alias("part"),
         F.col(f"bag.{item}").alias(name),
         F.col("bag.n").alias("counts"),
         F.col("total").alias("n"),

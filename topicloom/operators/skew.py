@@ -7,12 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Only the 4096 largest keys are looked after: any other key holds less than 1/4096 of the rows.
-# That also bounds what is broadcast, whatever the data.
-HOT_KEYS = 4096
-# Rows of a key that one task takes without trouble, and the most pieces a key is cut into.
+# Rows of a key that one task takes without trouble.
 HOT_FLOOR = 100_000
-MAX_SALTS = 4096
 
 
 def each_row(count: Column) -> Column:
@@ -27,10 +23,11 @@ def each_row(count: Column) -> Column:
 def hot_keys(
     df: DataFrame, keys: Sequence[str], weight: Column | None = None, floor: int = HOT_FLOOR
 ) -> DataFrame:
-    """Hot keys and the number of salts to spread each over: at most ``HOT_KEYS`` small rows.
+    """Hot keys and the number of salts to spread each over: one for every ``floor`` rows.
 
     The count combines on the map side, so a hot key costs no task more than another. Which
-    keys are hot steers only where rows go; every row of every key stays.
+    keys are hot steers only where rows go; every row of every key stays. There are at most as many
+    hot keys as rows over ``floor``; neither they nor their salts are limited.
     """
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     pieces = F.ceil(F.col("size") / F.lit(floor)).cast("bigint")
@@ -38,9 +35,7 @@ def hot_keys(
         df.groupBy(*keys)
         .agg(size.alias("size"))
         .where(F.col("size") > floor)
-        .orderBy(F.desc("size"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys, F.least(pieces, F.lit(MAX_SALTS)).alias("salts"))
+        .select(*keys, pieces.alias("salts"))
     )
 
 
@@ -62,7 +57,7 @@ def skew_join(
     that are small before the join.
     """
     left = left.where(F.col(key).isNotNull())
-    hot = F.broadcast(hot_keys(left, [key], weight, floor))
+    hot = hot_keys(left, [key], weight, floor)
     salts = F.coalesce(F.col("salts"), F.lit(1))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     spread = left.join(hot, key, "left").withColumn("salt", F.pmod(row_hash, salts)).drop("salts")

@@ -19,7 +19,7 @@ from topicloom.operators.lists import unnest
 from topicloom.session import saved, scratch_path
 from topicloom.sources.events import read_events
 from topicloom.sources.tables import publish_days, publish_latest, read_latest
-from topicloom.sources.testdata import raw_events, star_activity, star_orders, star_topics
+from topicloom.sources.testdata import raw_events, star_activity, star_orders, star_topics, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,10 +33,8 @@ STAR_USER = 8
 STAR_TOPIC = "ECONOMY"
 STAR_START, STAR_END = date(1997, 1, 1), date(1997, 7, 1)
 
-# A user has at most the whole vocabulary on a day.
-SHORT = {"most_items": len(TOPICS)}
 # Small limits, so that the test tables have lists of several parts and salted keys.
-SMALL = {"max_items": 4, "floor": 8}
+SMALL = {"max_items": 4}
 
 
 def _text(lists: DataFrame, name: str) -> DataFrame:
@@ -107,7 +105,7 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     period = F.coalesce(F.substring("created_at", 1, 7), F.lit("unknown"))
     by_period = raw.withColumn("period", period).hint("rebalance", "period")
     by_period.write.partitionBy("period").json(path, compression="gzip")
-    events = read_events(spark, f"{path}/period=2*/*.json.gz", f"{path}/period=unknown/*.json.gz")
+    events = read_events(spark, f"{path}/period=[0-9]*/*.json.gz", f"{path}/period=[^0-9]*/*.json.gz")
     return clean.flat_events(events)
 
 
@@ -149,7 +147,7 @@ def network_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def network_topics_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _coded_events(spark, sf_dir)
     activity = clean.user_repo(events)
-    edges = follows.follow_edges(activity, follows.user_index(activity))
+    edges = _coded_edges(spark, sf_dir)
     within = activity.where(in_window(F.col("day"), START, END))
     counts = topics.user_topic_counts(within, topics.repo_topic_coded(events), count_first=True)
     return serve.network_topics(counts, serve.user_follows(edges, USER), START, END)
@@ -165,7 +163,7 @@ def network_topics_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup over the published list tables."""
     user_table, topic_table = scratch_path(spark, "useruser"), scratch_path(spark, "usertopic")
     publish_latest(follows.user_user(_edges(spark, sf_dir)), user_table, "usr", run=1)
-    publish_days(topics.user_topic_day(_counts(spark, sf_dir), **SHORT), topic_table, "usr")
+    publish_days(topics.user_topic_day(_counts(spark, sf_dir)), topic_table, "usr")
     edges = unnest(read_latest(spark, user_table), "follows", "follow")
     user_topics = unnest(spark.read.parquet(topic_table), "topics", "topic")
     return serve.network_topics(user_topics, serve.user_follows(edges, USER), START, END)
@@ -210,7 +208,7 @@ def publish_user_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_user_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published twice, read back."""
     path = scratch_path(spark, "usertopic")
-    lists = saved(topics.user_topic_day(_counts(spark, sf_dir), **SHORT), "lists")
+    lists = saved(topics.user_topic_day(_counts(spark, sf_dir)), "lists")
     for _ in range(2):
         publish_days(lists, path, "usr")
     return _text(spark.read.parquet(path), "topics")
@@ -225,6 +223,57 @@ def publish_topic_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(spark.read.parquet(path), "users")
 
 
+def publish_user_user_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three thirds of the users as runs 1, 5 and 3, read back: a late run is not lost."""
+    path = scratch_path(spark, "useruser")
+    lists = saved(follows.user_user(_edges(spark, sf_dir)), "lists")
+    third = F.pmod(F.length("usr") + F.ascii(F.reverse("usr")), F.lit(3))
+    for k, run in enumerate((1, 5, 3)):
+        publish_latest(lists.where(third == k), path, "usr", run)
+    return _text(read_latest(spark, path), "follows")
+
+
+def publish_user_topic_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days, then the same days again without those within a window, read back."""
+    path = scratch_path(spark, "usertopic")
+    lists = saved(topics.user_topic_day(_counts(spark, sf_dir)), "lists")
+    publish_days(lists, path, "usr")
+    kept = lists.where(~in_window(F.col("day"), START, END))
+    publish_days(kept, path, "usr", covered=(date(2024, 1, 1), date(2024, 1, 31)))
+    return _text(spark.read.parquet(path), "topics")
+
+
+def given_follows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers follow the suppliers they order from: a relation with repeated rows."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("usr"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("follow")
+    )
+    return lines.join(orders, "o_orderkey").select("usr", "follow")
+
+
+def supplier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers work on the parts they ship; topics are the parts' types."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("usr"),
+        F.col("l_partkey").alias("repo"),
+        F.col("l_shipdate").cast("date").alias("day"),
+    )
+    within = lines.where(in_window(F.col("day"), STAR_START, STAR_END))
+    return topics.user_topic_counts(within, star_topics(spark, sf_dir, "p_type"), count_first=True)
+
+
+def network_topics_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    followed = serve.user_follows(given_follows(spark, sf_dir), STAR_USER)
+    return serve.network_topics(supplier_counts(spark, sf_dir), followed, STAR_START, STAR_END)
+
+
+def network_topic_users_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    followed = serve.user_follows(given_follows(spark, sf_dir), STAR_USER)
+    counts = supplier_counts(spark, sf_dir)
+    return serve.network_topic_users(counts, followed, STAR_TOPIC, STAR_START, STAR_END)
+
+
 def catalog() -> dict[str, Query]:
     events = {
         "load_events": load_events,
@@ -269,10 +318,10 @@ def catalog() -> dict[str, Query]:
     }
     # Column of the lists, and the lists.
     lists = {
-        "user_topic_day": ("topics", lambda s, d: topics.user_topic_day(_counts(s, d), **SHORT)),
+        "user_topic_day": ("topics", lambda s, d: topics.user_topic_day(_counts(s, d))),
         "user_topic_day_coded": (
             "topics",
-            lambda s, d: topics.user_topic_day(_coded_counts(s, d), **SHORT),
+            lambda s, d: topics.user_topic_day(_coded_counts(s, d)),
         ),
         "user_topic_day_star": ("topics", lambda s, d: topics.user_topic_day(_star_counts(s, d))),
         "topic_user_day": ("users", lambda s, d: topics.topic_user_day(_counts(s, d))),
@@ -290,6 +339,7 @@ def catalog() -> dict[str, Query]:
         "user_repo_day_star": ("repos", lambda s, d: topics.user_repo_day(star_activity(s, d))),
         "user_user": ("follows", lambda s, d: follows.user_user(_edges(s, d))),
         "user_user_coded": ("follows", lambda s, d: follows.user_user(_coded_edges(s, d))),
+        "user_user_given": ("follows", lambda s, d: follows.user_user(given_follows(s, d))),
         "user_user_star": ("follows", lambda s, d: follows.user_user(_star_edges(s, d))),
     }
     lookups = {
@@ -308,6 +358,13 @@ def catalog() -> dict[str, Query]:
         "publish_user_user": publish_user_user,
         "publish_user_topic": publish_user_topic,
         "publish_topic_user": publish_topic_user,
+        "publish_user_user_late": publish_user_user_late,
+        "publish_user_topic_emptied": publish_user_topic_emptied,
+        "popular_users_given": lambda spark, sf_dir: follows.popular_users(
+            given_follows(spark, sf_dir), MORE_THAN
+        ),
+        "network_topics_given": network_topics_given,
+        "network_topic_users_given": network_topic_users_given,
     }
     as_text = {
         key: lambda spark, sf_dir, name=name, build=build: _text(build(spark, sf_dir), name)

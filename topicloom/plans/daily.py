@@ -1,4 +1,4 @@
-r"""The daily job: from event files to the three published tables.
+r"""The daily job: from event files to the published tables.
 
     spark-submit --py-files topicloom.zip topicloom/plans/daily.py \
         --events 's3a://<bucket>/2018/2018-01-*.json.gz' --first 2018-01-01 --last 2018-01-31 \
@@ -13,11 +13,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.functions.vocabulary import TOPICS
 from topicloom.operators import follows, topics
 from topicloom.operators.clean import clean_events, user_repo
 from topicloom.session import build_session
-from topicloom.sources.events import read_events
+from topicloom.sources.events import broken_lines, read_events, stored_events
 from topicloom.sources.tables import publish_days, publish_latest
 
 
@@ -30,34 +29,52 @@ def run_days(
     run: int,
     repo_topics: DataFrame | None = None,
     id_field: str = "event_id",
-) -> None:
-    """Read, clean and land the events of some days, then publish the three tables.
+    follows_of: DataFrame | None = None,
+    most_broken: float = 0.01,
+) -> dict[str, int]:
+    """Read, clean and land the events of some days, then publish the tables.
 
     The files hold those days whole; events of other days in them are left out. The event files
     are read once: every later step reads the landed table, of which it needs a few columns and
-    only the folders of these days. ``repo_topics`` is the relation ``repo, topic``; without one
-    it is simulated.
+    only the folders of these days. ``repo_topics`` is the relation ``repo, topic`` and ``follows_of``
+    the relation ``usr, follow``, in which a repeated row counts once; without one it is simulated.
+
+    Returns how many lines there were, how many were no JSON (an error beyond the share
+    ``most_broken``) and how many clean events were of other days.
     """
     covered = F.col("day").between(F.lit(first), F.lit(last))
 
     def of_these_days(table: str) -> DataFrame:
         return spark.read.parquet(f"{out}/{table}").where(covered)
 
-    raw = read_events(spark, *globs, id_field=id_field)
-    publish_days(user_repo(clean_events(raw)).where(covered), f"{out}/activity", "usr")
+    lines = broken_lines(stored_events(spark, *globs, id_field=id_field)).first()
+    if lines.broken > most_broken * lines.lines:
+        raise ValueError(f"{lines.broken} of {lines.lines} lines are no JSON")
+    clean = user_repo(clean_events(read_events(spark, *globs, id_field=id_field)))
+    publish_days(clean.where(covered), f"{out}/activity", "usr", covered=(first, last))
+    account = {"lines": lines.lines, "broken": lines.broken}
+    account["other_days"] = clean.where(~covered).count()
     activity = of_these_days("activity")
-    most_topics = None
-    if repo_topics is None:
-        repo_topics = topics.repo_topic(activity)
-        most_topics = len(TOPICS)
+    # A given repository may have many topics: its activity is then counted before the join.
+    given = repo_topics is not None
+    repo_topics = repo_topics if given else topics.repo_topic(activity)
+
+    def publish(rows: DataFrame, table: str, key: str) -> None:
+        publish_days(rows, f"{out}/{table}", key, covered=(first, last))
 
-    publish_days(topics.user_topic_counts(activity, repo_topics), f"{out}/counts", "usr")
+    publish(topics.user_topic_counts(activity, repo_topics, count_first=given), "counts", "usr")
     counts = of_these_days("counts")
-    publish_days(topics.user_topic_day(counts, most_items=most_topics), f"{out}/usertopic", "usr")
-    publish_days(topics.topic_user_day(counts), f"{out}/topicuser", "topic")
+    publish(topics.user_topic_day(counts), "usertopic", "usr")
+    publish(topics.topic_user_day(counts), "topicuser", "topic")
+    publish(topics.user_repo_day(activity), "userrepo", "usr")
 
-    edges = follows.follow_edges(activity, follows.user_index(activity))
-    publish_latest(follows.user_user(edges, activity), f"{out}/useruser", "usr", run)
+    if follows_of is not None:
+        edges = follows_of.select("usr", "follow").where("usr IS NOT NULL AND follow IS NOT NULL")
+        edges = edges.distinct()
+    else:
+        edges = follows.follow_edges(activity, follows.user_index(activity))
+    publish_latest(follows.user_user(edges), f"{out}/useruser", "usr", run)
+    return account
 
 
 def main() -> None:
@@ -68,13 +85,16 @@ def main() -> None:
     parser.add_argument("--last", type=date.fromisoformat, required=True, help="last day")
     parser.add_argument("--run", type=int, required=True, help="number of the run; newer is higher")
     parser.add_argument("--repo-topics", help="Parquet table repo, topic")
+    parser.add_argument("--follows", help="Parquet table usr, follow")
     parser.add_argument("--id-field", default="id", help="name of the unique id in the files")
     args = parser.parse_args()
     spark = build_session("topicloom daily")
     given = spark.read.parquet(args.repo_topics) if args.repo_topics else None
-    run_days(
-        spark, args.events, args.out, args.first, args.last, args.run, given, args.id_field
+    edges = spark.read.parquet(args.follows) if args.follows else None
+    account = run_days(
+        spark, args.events, args.out, args.first, args.last, args.run, given, args.id_field, edges
     )
+    print(account)
 
 
 if __name__ == "__main__":

@@ -5,7 +5,9 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from topicloom.functions.text import in_window
 from topicloom.operators import serve
 from topicloom.operators.lists import unnest
 from topicloom.sources.tables import read_latest
@@ -32,6 +34,16 @@ def topics_of_network(
     return serve.network_topics(user_topics, _follows(spark, out, user), start, end)
 
 
+def repos_of_user(
+    spark: SparkSession, out: str, user: str, from_date: str, to_date: str
+) -> DataFrame:
+    """Repositories that a user works on between two days given as date-picker text."""
+    start, end = request_day(from_date), request_day(to_date)
+    lists = spark.read.parquet(f"{out}/userrepo").where(F.col("usr") == F.lit(user))
+    repos = unnest(lists, "repos", "repo").where(in_window(F.col("day"), start, end))
+    return repos.select("repo").distinct()
+
+
 def users_of_topic(
     spark: SparkSession, out: str, topic: str, from_date: str, to_date: str, user: str | None = None
 ) -> DataFrame:

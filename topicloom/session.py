@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,13 +23,10 @@ def build_session(app: str, **settings: str) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the cluster's shared checkpoint folder.
 
-    Only a local session without that setting gets a folder of its own on this machine.
+    Without that setting the folder is below the warehouse, which is shared as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="topicloom-")
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{base.rstrip('/')}/topicloom-{uuid.uuid4().hex}/{name}"
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,18 +20,54 @@ EVENT_SCHEMA = T.StructType(
 )
 
 
+BROKEN = "_corrupt_record"
+
+
+def stored_events(spark: SparkSession, *globs: str, id_field: str = "event_id") -> DataFrame:
+    """The lines as stored, those that are no JSON with their text in ``_corrupt_record``.
+
+    A glob that no file matches is an empty period; it is an error only if none matches any.
+    """
+    as_stored = T.StructType(
+        [
+            T.StructField(id_field, T.StringType()),
+            *EVENT_SCHEMA.fields[1:],
+            T.StructField(BROKEN, T.StringType()),
+        ]
+    )
+    found, missing = [], None
+    for one in globs:
+        try:
+            found.append(spark.read.schema(as_stored).json(one))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing = error
+    if not found and missing is not None:
+        raise missing
+    return reduce(DataFrame.unionByName, found)
+
+
+def broken_lines(events: DataFrame) -> DataFrame:
+    """One row of what ``stored_events`` returns: ``lines``, ``broken`` and those with a type, ``typed``.
+
+    Spark does not count broken lines alone.
+    """
+    broken = F.count(F.when(F.col(BROKEN).isNotNull(), F.lit(1)))
+    return events.agg(
+        F.count(F.lit(1)).alias("lines"), broken.alias("broken"), F.count("type").alias("typed")
+    )
+
+
 def read_events(spark: SparkSession, *globs: str, id_field: str = "event_id") -> DataFrame:
     """Events from (gzipped) JSON files; several globs give the union of several periods.
 
     The schema is given, so no file is read twice to infer it. Gzip cannot be split: each file
     is one task, which is why the daily job lands the events as Parquet and reads that.
     ``id_field`` names the unique id in the files, as number or as digits; without one, a
-    hash of the event stands in.
+    hash of the event stands in. Lines that are no JSON are left out; ``broken_lines`` counts them.
     """
-    as_stored = T.StructType(
-        [T.StructField(id_field, T.StringType())] + EVENT_SCHEMA.fields[1:]
-    )
-    events = spark.read.schema(as_stored).json(list(globs))
+    events = stored_events(spark, *globs, id_field=id_field).where(f"{BROKEN} IS NULL")
     fallback = F.xxhash64("type", "actor.login", "repo.name", "created_at")
     ids = F.coalesce(F.col(id_field).try_cast("bigint"), fallback)
     return events.select(ids.alias("event_id"), "type", "actor", "repo", "created_at")

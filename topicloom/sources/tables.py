@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +21,18 @@ def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def publish_days(df: DataFrame, path: str, key: str, whole_days: bool = True) -> None:
+def publish_days(
+    df: DataFrame,
+    path: str,
+    key: str,
+    whole_days: bool = True,
+    covered: tuple[date, date] | None = None,
+) -> None:
     """Write a day table, replacing the days it covers and leaving all others.
 
+    ``covered`` are the first and last day of the run: a stored day between them that the run has
+    no rows of is emptied.
+
     ``whole_days=False`` is for a run that covers only part of its days: stored rows of those
     days whose (key, day) the run does not bring are kept.
     """
@@ -47,24 +58,31 @@ def publish_days(df: DataFrame, path: str, key: str, whole_days: bool = True) ->
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
+    if covered is not None:
+        _drop_days(df, path, *covered)
+
+
+def _drop_days(df: DataFrame, path: str, first: date, last: date) -> None:
+    """Remove the folders of days from first to last that ``df`` has no rows of."""
+    spark = df.sparkSession
+    days = (last - first).days + 1
+    have = {r.day for r in df.select("day").distinct().limit(days).collect()}  # a row per day
+    for k in range(days):
+        day = first + timedelta(days=k)
+        if day not in have:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/day={day.isoformat()}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def publish_latest(df: DataFrame, path: str, key: str, run: int) -> None:
-    """Write the next snapshot of a table without days: the newest run wins for each key.
+    """Write one run of a table without days.
 
-    A snapshot is a folder ``run=<n>``; a small table beside them lists the runs that are
-    complete. Publishing the same run again replaces its snapshot, built from the same earlier
-    one, so the result is the same.
+    A run is a folder ``run=<n>`` with its own rows; a small table beside them lists the runs that are
+    complete. Publishing a run again replaces it, in whatever order runs come.
     """
     spark = df.sparkSession
-    runs = table_or_none(spark, f"{path}_runs")
-    base = None if runs is None else runs.where(F.col("run") < run).agg(F.max("run")).first()[0]
-    if base is not None:
-        df = saved(df, "run")  # read twice below
-        earlier = spark.read.parquet(f"{path}/run={base}")
-        df = df.unionByName(earlier.join(df.select(key).distinct(), key, "left_anti"))
     (
-        df.hint("rebalance", key)
+        df.repartitionByRange(key)
         .sortWithinPartitions(key)
         .write.mode("overwrite")
         .parquet(f"{path}/run={run}")
@@ -73,7 +91,10 @@ def publish_latest(df: DataFrame, path: str, key: str, run: int) -> None:
     this_run.coalesce(1).write.mode("append").parquet(f"{path}_runs")
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete snapshot."""
-    newest = spark.read.parquet(f"{path}_runs").agg(F.max("run")).first()[0]
-    return spark.read.parquet(f"{path}/run={newest}")
+def read_latest(spark: SparkSession, path: str, key: str = "usr") -> DataFrame:
+    """The rows of each key's newest complete run."""
+    complete = spark.read.parquet(f"{path}_runs").select(F.col("run").alias("whole")).distinct()
+    runs = spark.read.parquet(path).withColumn("run", F.col("run").cast("bigint"))
+    runs = runs.join(complete, F.col("run") == F.col("whole"), "left_semi")
+    newest = runs.groupBy(key).agg(F.max("run").alias("run"))
+    return runs.join(newest, [key, "run"], "left_semi").drop("run")
