@@ -110,7 +110,7 @@ def fit(x: np.ndarray, labels: list[str]) -> Model | None:
     """The machines learned from feature rows and their languages; None without any rows."""
     if not labels:
         return None
-    x = x.astype(np.float64)
+    x = np.asarray(x, dtype=np.float32)
     lang = np.array(labels, object)
     group = np.array([family(v) for v in labels], object)
     families = sorted(set(group))
@@ -159,8 +159,11 @@ def learn(
 
     got = chosen.mapInArrow(vectors, "lang string, x binary").collect()  # a bounded sample
     got.sort(key=lambda r: (r.lang, bytes(r.x)))
-    x = np.array([np.frombuffer(r.x, np.float16) for r in got])
-    return fit(x, [r.lang for r in got])
+    labels = [r.lang for r in got]
+    x = np.empty((len(got), WIDTH), np.float32)
+    for k in range(len(got)):
+        x[k], got[k] = np.frombuffer(got[k].x, np.float16), None  # let go at once
+    return fit(x, labels)
 
 
 def guesses(model: Model | None, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

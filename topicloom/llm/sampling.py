@@ -37,15 +37,16 @@ def linear_svm(
 
     Both signs weigh the same, whatever their number. Accelerated gradient steps on all rows.
     """
-    rows = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w, b = np.zeros(x.shape[1]), 0.0
+    rows = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(x.dtype)
+    y = y.astype(x.dtype)  # no product makes a wider copy of x
+    w, b = np.zeros(x.shape[1], x.dtype), x.dtype.type(0)
     v, c = w, b
-    step = 1 / (4 * float((rows * ((x**2).sum(axis=1) + 1)).sum()) + penalty)
+    step = 1 / (4 * float((rows * (np.einsum("ij,ij->i", x, x) + 1)).sum()) + penalty)
     for k in range(rounds):
         slack = np.maximum(0, 1 - y * (x @ v + c)) * rows * y
-        new_w = v + step * (2 * (x.T @ slack) - penalty * v)
-        new_b = c + step * 2 * slack.sum()
-        pace = k / (k + 3)
+        new_w = (v + step * (2 * (x.T @ slack) - penalty * v)).astype(x.dtype)
+        new_b = x.dtype.type(c + step * 2 * slack.sum())
+        pace = x.dtype.type(k / (k + 3))
         v, c = new_w + pace * (new_w - w), new_b + pace * (new_b - b)
         w, b = new_w, new_b
     return w, b
