@@ -24,6 +24,7 @@ from topicloom.llm.words import slices, text_buffer
 UNKNOWN = "und"
 WIDTH = 2048  # features
 SAMPLE = 4000  # rows that are learned from, over all languages
+SLICE = 1 << 20  # bytes of text whose features are counted at once
 SNIPPET = 120  # bytes of a learned text that are also learned as a text of their own
 
 # Families of languages by ISO 639-1 code. A language that is not listed is its own.
@@ -145,7 +146,7 @@ def learn(
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 texts = part.column("text")
                 middles = [
                     t[(at := max(0, len(t) // 2 - SNIPPET // 2)) : at + SNIPPET].decode(errors="ignore")
@@ -192,7 +193,7 @@ def identified(
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, SLICE):
                 lang, _ = guesses(model.value, part.column(text_col))
                 at = part.schema.get_field_index(lang_col)
                 kind = part.schema.field(at).type
@@ -225,7 +226,7 @@ def languages(
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 lang, score = guesses(model.value, part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(lang, pa.string()), pa.array(score)],

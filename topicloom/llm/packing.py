@@ -31,8 +31,8 @@ from topicloom.llm.words import hash_ranges, slices, text_buffer
 #: Tokens of a column of texts, one after the other, and where each text's begin.
 Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
-SLICE = 8 << 20  # bytes of text encoded at once
-CACHE = 1_000_000  # parts of text whose tokens a worker remembers
+SLICE = 2 << 20  # bytes of text encoded at once
+CACHE = 400_000  # parts of text whose tokens a worker remembers
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
