@@ -202,6 +202,48 @@ def test_common_stretches():
     assert common_stretches(x, x[50:80], 46) == []
 
 
+def stretches_by_brute_force(there, least):
+    n = len(there)
+    enough = [
+        (a, b)
+        for a in range(n)
+        for b in range(a + least, n + 1)
+        if there[a] and there[b - 1] and 9 * sum(there[a:b]) >= 8 * (b - a)
+    ]
+    return [(a, b) for a, b in enough if not any((c, d) != (a, b) and c <= a and b <= d for c, d in enough)]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from([True] * 9 + [False]), max_size=50), st.integers(1, 20))
+def test_common_stretches_by_brute_force(there, least):
+    x = np.arange(len(there), dtype=np.uint64)
+    assert common_stretches(x, x[np.array(there, bool)], least) == stretches_by_brute_force(there, least)
+
+
+def test_common_stretches_with_one_word_changed():
+    for size in range(50, 101):
+        x = np.arange(size - 4, dtype=np.uint64)
+        for word in range(size):
+            left, right = max(0, word - 4), min(word + 1, size - 4)  # the shingles that have it
+            begin, end = (right if left == 0 else 0), (left if right == size - 4 else size - 4)
+            whole = [(begin, end)] if end - begin >= 46 else []
+            found = common_stretches(x, np.delete(x, np.arange(left, right)), 46)
+            assert found == whole, (size, word)
+
+
+def test_passages_with_one_word_changed(make_docs):
+    rows = []
+    for word in (30, 40, 50):
+        text = [f"w{word}.{k}" for k in range(80)]
+        changed = text[:word] + ["other"] + text[word + 1 :]
+        for doc, body in ((word, text), (word + 1, changed)):
+            own = [f"d{doc}.{k}" for k in range(60)]
+            rows.append((doc, " ".join(own + body + own[::-1]), "en", "s"))
+    found = {(r.doc_id, r.like_id, r.start, r.end) for r in repeated_passages(make_docs(*rows)).collect()}
+    pairs = [(w, w + 1) for w in (30, 40, 50)]
+    assert found == {(a, b, 60, 140) for a, b in pairs} | {(b, a, 60, 140) for a, b in pairs}
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "a", "Hello all.\nShall we meet on Monday?\n\nBring the papers."),
