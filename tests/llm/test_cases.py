@@ -244,6 +244,25 @@ def test_passages_with_one_word_changed(make_docs):
     assert found == {(a, b, 60, 140) for a, b in pairs} | {(b, a, 60, 140) for a, b in pairs}
 
 
+def test_passages_name_their_class(make_docs):
+    shared = {p: " ".join(f"{p}.{k}" for k in range(60)) for p in "pq"}
+    rows = []
+    for doc in range(40):
+        own = [" ".join(f"d{doc}.{part}.{k}" for k in range(30)) for part in range(3)]
+        first = shared["p"] if doc < 30 else "none"
+        second = shared["q"] if doc % 3 == 0 else "none"
+        number = doc * 7 % 40  # ids in another order than the texts' hashes or this one
+        rows.append((number, " ".join([own[0], first, own[1], second, own[2]]), "en", "s"))
+    rows += [(100, "a b c d " * 20, "en", "s"), (101, "a b c d " * 20, "en", "s")]
+    found = repeated_passages(make_docs(*rows)).collect()
+    of = defaultdict(set)
+    for r in found:
+        of[r.passage].add((r.doc_id, r.start))
+    p = {(d * 7 % 40, 30) for d in range(30)}
+    q = {(d * 7 % 40, 120 if d < 30 else 61) for d in range(0, 40, 3)}
+    assert sorted(map(sorted, of.values())) == sorted(map(sorted, [p, q, {(100, 0), (101, 0)}]))
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "a", "Hello all.\nShall we meet on Monday?\n\nBring the papers."),
