@@ -263,6 +263,20 @@ def test_passages_name_their_class(make_docs):
     assert sorted(map(sorted, of.values())) == sorted(map(sorted, [p, q, {(100, 0), (101, 0)}]))
 
 
+def test_passages_of_common_sentences(make_docs):
+    """Each signature is in many texts; only the whole of three sentences is in two."""
+    rows, wanted = [], set()
+    for number in range(64):
+        slots = number // 16, number // 4 % 4, number % 4
+        body = " ".join(f"s{slot}.{which}.{k}" for slot, which in enumerate(slots) for k in range(20))
+        for doc in (number, number + 64):
+            own = [" ".join(f"d{doc}.{part}.{k}" for k in range(30)) for part in range(2)]
+            rows.append((doc, " ".join([own[0], body, own[1]]), "en", "s"))
+            wanted.add((doc, (doc + 64) % 128, 30, 90))
+    found = repeated_passages(make_docs(*rows)).collect()
+    assert {(r.doc_id, r.like_id, r.start, r.end) for r in found} == wanted
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "a", "Hello all.\nShall we meet on Monday?\n\nBring the papers."),
