@@ -13,6 +13,7 @@ from topicloom.llm import ngram_lm
 from topicloom.llm.exact import exact_groups
 from topicloom.llm.jaccard import jaccard_components
 from topicloom.llm.language import languages, with_held_out
+from topicloom.llm.merkle import manifest
 from topicloom.llm.mixing import mix
 from topicloom.llm.multiset import edited_fingerprints
 from topicloom.llm.packing import byte_bpe, packed
@@ -91,6 +92,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, of which about half are checked without their line breaks."""
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    broken = F.when(crc_part("doc_id", 2) == 0, F.translate("text", "\n", ""))
+    claimed = [F.col(c) for c in columns[:-1]] + [F.coalesce(broken, F.col("text"))]
+    return manifest(table(spark, sf_dir, "documents"), columns, claimed=claimed)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_ngram_trie": op1_ngram_trie,
@@ -103,6 +112,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_mix_sources": op8_mix_sources,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_language_id": op10_language_id,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }
 
 
