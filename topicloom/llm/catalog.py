@@ -18,7 +18,9 @@ from topicloom.llm.mixing import mix
 from topicloom.llm.multiset import edited_fingerprints
 from topicloom.llm.packing import byte_bpe, packed
 from topicloom.llm.quotes import linked_conversations
+from topicloom.llm.runs import RUN, periodic_runs
 from topicloom.llm.sampling import crc_part
+from topicloom.llm.simhash import near_components
 from topicloom.llm.toxicity import toxicity
 from topicloom.llm.windows import repeated_passages
 from topicloom.sources.testdata import table
@@ -100,6 +102,46 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"), columns, claimed=claimed)
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, in which a tenth of the texts repeat a part of themselves up to their end."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    words = docs.select("doc_id", "text", F.floor(number / 10).alias("g"),
+                        F.when(number % 10 == 0, found).alias("w"))
+    sized = words.withColumn("n", F.size("w").cast("bigint"))
+    begin = sized.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8))
+    placed = begin.withColumn("p", period)
+    repeated = F.expr("transform(w, (word, i) -> if(i < a, word, w[cast(a + (i - a) % p as int)]))")
+    text = F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return placed.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of four periods and more in all documents, of which a tenth get one planted."""
+    found = periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.expr(
+        f"""aggregate(runs, CAST(NULL AS {RUN}), (best, r) -> IF(
+              best IS NULL OR r.length * best.period > best.length * r.period, r, best))"""
+    )
+    lines = F.expr("transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n'))")
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose fingerprints of four-word shingles differ in four bits at most."""
+    return near_components(table(spark, sf_dir, "documents"), size=4, distance=4)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_ngram_trie": op1_ngram_trie,
@@ -113,6 +155,8 @@ def llm_queries() -> dict[str, Query]:
         "op9_jaccard_join": op9_jaccard_join,
         "op10_language_id": op10_language_id,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_simhash_grid": op13_simhash_grid,
     }
 
 

@@ -88,8 +88,8 @@ def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return out
 
 
-def words(texts: pa.Array) -> Words:
-    """All words of a column of text."""
+def words(texts: pa.Array, lower: bool = True) -> Words:
+    """All words of a column of text; ``lower=False`` tells upper and lower case apart."""
     data, offsets = text_buffer(texts)
     docs = len(offsets) - 1
     if not len(data):
@@ -107,7 +107,7 @@ def words(texts: pa.Array) -> Words:
     after[edges - 1] = False
     end = np.flatnonzero(inside & ~after) + 1
     doc = np.searchsorted(offsets, start, "right") - 1
-    return Words(docs, doc, start, end, hash_ranges(_LOWER[data], start, end))
+    return Words(docs, doc, start, end, hash_ranges(_LOWER[data] if lower else data, start, end))
 
 
 def fold(hashes: np.ndarray) -> np.uint64:
