@@ -161,7 +161,11 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracle() -> dict[str, str]:
-    return {"op6_exact_dedup": EXACT_SQL, "op8_mix_sources": MIX_SQL}
+    return {
+        "op6_exact_dedup": EXACT_SQL,
+        "op8_mix_sources": MIX_SQL,
+        "op11_merkle_manifest": MERKLE_SQL,
+    }
 
 
 EXACT_SQL = """
@@ -214,3 +218,70 @@ SELECT q.doc_id, q.size, q.total AS source_size, q.target,
 FROM queue q LEFT JOIN taken t ON q.doc_id = t.doc_id AND q.text_hash = t.text_hash
      AND q.source IS NOT DISTINCT FROM t.source
 """
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+_HEAD = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+_SIBLINGS = "array_to_string(hs[:pos % 3], ''), array_to_string(hs[pos % 3 + 2:], '')"
+
+MERKLE_SQL = f"""
+WITH RECURSIVE crc_bytes AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+), checked AS (
+  SELECT *, xor(4294967295, list_reduce(list_concat([4294967295],
+              list_transform(range(length(doc_id::VARCHAR)), lambda i: ascii(substr(doc_id::VARCHAR, (i + 1)::INT, 1))::BIGINT)),
+              lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) AS crc
+  FROM documents, crc_bytes
+), leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rank,
+         count(*) OVER (PARTITION BY source) AS n,
+         sha256({_HEAD} || {_field("text")}) AS leaf,
+         sha256({_HEAD} || CASE WHEN crc % 2 = 0 THEN {_field("replace(text, chr(10), '')")}
+                                ELSE {_field("text")} END) AS claimed
+  FROM checked
+), node(tree, level, pos, h, n) AS (
+  SELECT tree, 0, rank, leaf, n FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3
+  FROM node WHERE n > 1 GROUP BY tree, level, pos // 3, n
+), runs AS (
+  SELECT tree, level, pos // 3 AS up, list(h ORDER BY pos) AS hs FROM node WHERE n > 1 GROUP BY ALL
+), climb(doc_id, tree, level, pos, h, siblings) AS (
+  SELECT doc_id, tree, 0, rank, claimed, '' FROM leaves
+  UNION ALL
+  SELECT c.doc_id, c.tree, c.level + 1, c.pos // 3,
+         sha256(concat(array_to_string(hs[:pos % 3], ''), h, array_to_string(hs[pos % 3 + 2:], ''))),
+         concat(siblings, {_SIBLINGS})
+  FROM climb c JOIN runs r ON c.tree = r.tree AND c.level = r.level AND c.pos // 3 = r.up
+), below AS (
+  SELECT doc_id, tree, arg_max(h, level) AS h, arg_max(siblings, level) AS siblings FROM climb GROUP BY ALL
+), subroots AS (
+  SELECT tree, h AS subroot, count(*) OVER () AS n FROM node WHERE n = 1
+), top_node(level, pos, h, n) AS (
+  SELECT 0, tree, subroot, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3
+  FROM top_node WHERE n > 1 GROUP BY level, pos // 3, n
+), top_runs AS (
+  SELECT level, pos // 3 AS up, list(h ORDER BY pos) AS hs FROM top_node WHERE n > 1 GROUP BY ALL
+), top_climb(doc_id, level, pos, h, siblings) AS (
+  SELECT doc_id, 0, tree, h, siblings FROM below
+  UNION ALL
+  SELECT c.doc_id, c.level + 1, c.pos // 3,
+         sha256(concat(array_to_string(hs[:pos % 3], ''), h, array_to_string(hs[pos % 3 + 2:], ''))),
+         concat(siblings, {_SIBLINGS})
+  FROM top_climb c JOIN top_runs r ON c.level = r.level AND c.pos // 3 = r.up
+), proofs AS (
+  SELECT doc_id, arg_max(h, level) AS folded_root, arg_max(siblings, level) AS siblings
+  FROM top_climb GROUP BY doc_id
+)
+SELECT l.doc_id, l.leaf, s.subroot, t.h AS root, sha256(p.siblings) AS proof_sha256, p.folded_root,
+       p.folded_root = t.h AS verified
+FROM leaves l JOIN subroots s ON l.tree = s.tree JOIN proofs p ON l.doc_id = p.doc_id
+     JOIN top_node t ON t.n = 1
+"""
