@@ -164,6 +164,19 @@ def _nulls(column: str) -> str:
         WHERE type IN ('ForkEvent', 'CommitCommentEvent')"""
 
 
+REJECTS = f"""
+    SELECT * FROM (
+      SELECT CASE WHEN event_id % 41 = 0 THEN 'broken' WHEN login IS NULL THEN 'no_user'
+                  WHEN repo IS NULL THEN 'no_repo' WHEN created_at IS NULL THEN 'no_time'
+                  WHEN NOT CAST(substr(created_at, 1, 10) AS DATE)
+                       BETWEEN {_date(c.REJECT_DAYS[0])} AND {_date(c.REJECT_DAYS[1])}
+                  THEN 'other_day' END AS outcome,
+             CASE WHEN event_id % 41 <> 0 THEN event_id END AS event_id,
+             CASE WHEN event_id % 41 = 0 THEN '{{"event_id":' || event_id END AS line
+      FROM raw WHERE event_id % 41 = 0 OR type IN ('ForkEvent', 'CommitCommentEvent'))
+    WHERE outcome IS NOT NULL"""
+
+
 def oracle_queries() -> dict[str, str]:
     user = f"'{c.USER}'"
     topic_lists = _lists("counts", "usr, day", "topic", "topics")
@@ -263,6 +276,21 @@ def oracle_queries() -> dict[str, str]:
         "publish_user_topic_emptied": _events(
             f"SELECT * FROM ({topic_lists}) WHERE NOT ({_within(c.START, c.END)})"
         ),
+        "publish_user_repo": _events(repo_lists),
+        "publish_user_user_compacted": _events(follow_lists),
+        "event_rejects": _events(REJECTS),
+        "daily_tables": _events(
+            """SELECT 'usertopic' AS name, usr AS key, day, topic AS item, n FROM counts
+               UNION ALL SELECT 'topicuser', topic, day, usr, n FROM counts
+               UNION ALL SELECT 'userrepo', usr, day, repo, n FROM repo_counts
+               UNION ALL SELECT 'useruser', usr, NULL, follow, count(*) FROM edges GROUP BY usr, follow"""
+        ),
+        "user_repos_published": _events(
+            f"SELECT DISTINCT repo FROM activity WHERE usr = {user} AND {_within(c.START, c.TOPIC_END)}"
+        ),
+        "network_topic_users_published": _events(
+            _first("counts", c.TOPIC, c.START, c.TOPIC_END, network)
+        ),
         "user_user_given": _star(follow_lists.replace("FROM edges", "FROM given")),
         "popular_users_given": _star(
             f"""SELECT follow, count(DISTINCT usr) AS n FROM given

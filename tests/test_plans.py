@@ -54,12 +54,19 @@ def test_rows_are_counted_on_the_map_side(spark):
     assert "partial_count(1)" in plan and "partial_sum" in plan
 
 
-@pytest.mark.parametrize("name", ["user_topic_counts_star", "topic_user_day_star", "user_repo_day_star"])
-def test_hot_keys_share_the_shuffle_of_the_main_branch(spark, name):
+def test_hot_keys_share_the_shuffle_of_the_main_branch(spark):
+    """Counted activity is shuffled once for the join and for finding hot repositories."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = explained(QUERIES[name](spark, SF_DIR))
+        plan = explained(QUERIES["user_topic_counts_star"](spark, SF_DIR))
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
-    assert "ReusedExchange" in plan and "TakeOrderedAndProject(limit=4096" in plan
+    assert "ReusedExchange" in plan
     assert sum("FileScan" in line and "l_partkey" in line for line in plan.splitlines()) == 1
+
+
+@pytest.mark.parametrize("name", ["topic_user_day_star", "user_repo_day_star"])
+def test_lists_are_built_from_written_ranges(spark, name):
+    """Nothing below a list's last steps runs twice: they read the rows as dealt."""
+    plan = explained(QUERIES[name](spark, SF_DIR))
+    assert "l_partkey" not in plan and "chunk" in plan

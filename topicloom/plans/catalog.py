@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,18 @@ from topicloom.functions.text import event_day, in_window, picker_text
 from topicloom.functions.vocabulary import TOPICS, topic_vocabulary
 from topicloom.operators import clean, follows, serve, topics
 from topicloom.operators.lists import unnest
+from topicloom.plans import lookup
+from topicloom.plans.daily import run_days
 from topicloom.session import saved, scratch_path
-from topicloom.sources.events import read_events
-from topicloom.sources.tables import publish_days, publish_latest, read_latest
+from topicloom.sources.events import judged_lines, read_events, staged_lines, stored_events
+from topicloom.sources.tables import (
+    compact,
+    publish_days,
+    publish_latest,
+    read_days,
+    read_latest,
+    remove_merged,
+)
 from topicloom.sources.testdata import raw_events, star_activity, star_orders, star_topics, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,11 +38,15 @@ TOPIC = TOPICS[118]
 START, END = date(2024, 1, 2), date(2024, 1, 6)
 TOPIC_END = date(2024, 1, 20)
 MORE_THAN = 80
+REJECT_DAYS = (date(2024, 1, 1), date(2024, 1, 20))
 
 STAR_USER = 8
 STAR_TOPIC = "ECONOMY"
 STAR_START, STAR_END = date(1997, 1, 1), date(1997, 7, 1)
 
+# Buckets of published tables; the test tables have a few hundred rows a day.
+FEW = 4
+
 # Small limits, so that the test tables have lists of several parts and salted keys.
 SMALL = {"max_items": 4}
 
@@ -159,14 +173,16 @@ def network_topics_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.network_topics(counts, followed, STAR_START, STAR_END)
 
 
+def _published_follows(spark: SparkSession, sf_dir: str, out: str) -> None:
+    publish_latest(follows.user_user(_edges(spark, sf_dir)), f"{out}/useruser", "usr", run=1)
+
+
 def network_topics_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup over the published list tables."""
-    user_table, topic_table = scratch_path(spark, "useruser"), scratch_path(spark, "usertopic")
-    publish_latest(follows.user_user(_edges(spark, sf_dir)), user_table, "usr", run=1)
-    publish_days(topics.user_topic_day(_counts(spark, sf_dir)), topic_table, "usr")
-    edges = unnest(read_latest(spark, user_table), "follows", "follow")
-    user_topics = unnest(spark.read.parquet(topic_table), "topics", "topic")
-    return serve.network_topics(user_topics, serve.user_follows(edges, USER), START, END)
+    out = scratch_path(spark, "published")
+    _published_follows(spark, sf_dir, out)
+    publish_days(topics.user_topic_day(_counts(spark, sf_dir)), f"{out}/usertopic", "usr", buckets=FEW)
+    return lookup.network_rows(spark, out, USER, START, END).select("topic").distinct()
 
 
 def topic_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,10 +196,29 @@ def topic_users_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_users_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup over the published list table."""
-    path = scratch_path(spark, "topicuser")
-    publish_days(topics.topic_user_day(_counts(spark, sf_dir)), path, "topic")
-    user_topics = unnest(spark.read.parquet(path), "users", "usr")
-    return serve.topic_users(user_topics, TOPIC, START, TOPIC_END)
+    out = scratch_path(spark, "published")
+    publish_days(topics.topic_user_day(_counts(spark, sf_dir)), f"{out}/topicuser", "topic", buckets=FEW)
+    rows = lookup.topic_rows(spark, out, TOPIC, START, TOPIC_END)
+    return serve.topic_users(rows, TOPIC, START, TOPIC_END)
+
+
+def network_topic_users_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup among a user's network over the published list tables."""
+    out = scratch_path(spark, "published")
+    _published_follows(spark, sf_dir, out)
+    publish_days(topics.topic_user_day(_counts(spark, sf_dir)), f"{out}/topicuser", "topic", buckets=FEW)
+    rows = lookup.topic_rows(spark, out, TOPIC, START, TOPIC_END)
+    followed = lookup.follows_of(spark, out, USER)
+    return serve.network_topic_users(rows, followed, TOPIC, START, TOPIC_END)
+
+
+def user_repos_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup of one user's repositories over the published list table."""
+    out = scratch_path(spark, "published")
+    publish_days(topics.user_repo_day(_activity(spark, sf_dir)), f"{out}/userrepo", "usr", buckets=FEW)
+    window = (START, TOPIC_END)
+    texts = spark.range(1).select(*(picker_text(F.lit(day)) for day in window)).first()
+    return lookup.repos_of_user(spark, out, USER, *texts)
 
 
 def network_topic_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,17 +245,17 @@ def publish_user_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "usertopic")
     lists = saved(topics.user_topic_day(_counts(spark, sf_dir)), "lists")
     for _ in range(2):
-        publish_days(lists, path, "usr")
-    return _text(spark.read.parquet(path), "topics")
+        publish_days(lists, path, "usr", buckets=FEW)
+    return _text(read_days(spark, path).drop("bucket"), "topics")
 
 
 def publish_topic_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published twice, the second time key by key, read back."""
     path = scratch_path(spark, "topicuser")
     lists = saved(topics.topic_user_day(_counts(spark, sf_dir)), "lists")
-    publish_days(lists, path, "topic")
-    publish_days(lists, path, "topic", whole_days=False)
-    return _text(spark.read.parquet(path), "users")
+    publish_days(lists, path, "topic", buckets=FEW)
+    publish_days(lists, path, "topic", whole_days=False, buckets=FEW)
+    return _text(read_days(spark, path).drop("bucket"), "users")
 
 
 def publish_user_user_late(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,10 +272,71 @@ def publish_user_topic_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days, then the same days again without those within a window, read back."""
     path = scratch_path(spark, "usertopic")
     lists = saved(topics.user_topic_day(_counts(spark, sf_dir)), "lists")
-    publish_days(lists, path, "usr")
+    publish_days(lists, path, "usr", buckets=FEW)
     kept = lists.where(~in_window(F.col("day"), START, END))
-    publish_days(kept, path, "usr", covered=(date(2024, 1, 1), date(2024, 1, 31)))
-    return _text(spark.read.parquet(path), "topics")
+    publish_days(kept, path, "usr", covered=(date(2024, 1, 1), date(2024, 1, 31)), buckets=FEW)
+    return _text(read_days(spark, path).drop("bucket"), "topics")
+
+
+def publish_user_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd and even users published in turn, key by key, read back."""
+    path = scratch_path(spark, "userrepo")
+    lists = saved(topics.user_repo_day(_activity(spark, sf_dir)), "lists")
+    for rest in (0, 1, 0):
+        half = lists.where(F.pmod(F.ascii(F.reverse("usr")), F.lit(2)) == rest)
+        publish_days(half, path, "usr", whole_days=False, buckets=FEW)
+    return _text(read_days(spark, path).drop("bucket"), "repos")
+
+
+def publish_user_user_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three thirds of the users as runs 1, 5 and 3, two of them merged before the third comes."""
+    path = scratch_path(spark, "useruser")
+    lists = saved(follows.user_user(_edges(spark, sf_dir)), "lists")
+    third = F.pmod(F.length("usr") + F.ascii(F.reverse("usr")), F.lit(3))
+    for k, run in enumerate((1, 5)):
+        publish_latest(lists.where(third == k), path, "usr", run)
+    compact(spark, path)
+    remove_merged(spark, path)
+    publish_latest(lists.where(third == 2), path, "usr", 3)
+    return _text(read_latest(spark, path), "follows")
+
+
+def event_files(spark: SparkSession, sf_dir: str) -> str:
+    """``events`` as gzipped JSON, in which the lines of every 41st event are cut off; the folder."""
+    raw = raw_events(spark, sf_dir)
+    cut = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"))
+    whole = F.to_json(F.struct(*raw.columns))
+    lines = raw.select(F.when(F.col("event_id") % 41 == 0, cut).otherwise(whole).alias("value"))
+    path = scratch_path(spark, "json")
+    lines.write.text(path, compression="gzip")
+    return path
+
+
+def event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of event files that are no clean activity within a window, and why."""
+    stored = stored_events(spark, event_files(spark, sf_dir))
+    lines, _ = staged_lines(judged_lines(stored, "event_id", *REJECT_DAYS))
+    return lines.where("outcome != 'clean'").select("outcome", "event_id", "line")
+
+
+def daily_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that the daily job publishes, from files of all days, read back."""
+    out, files = scratch_path(spark, "tables"), scratch_path(spark, "json")
+    raw_events(spark, sf_dir).write.json(files, compression="gzip")
+    run_days(spark, [files], out, date(2024, 1, 1), date(2024, 1, 31), run=1, buckets=FEW)
+
+    def rows(lists: DataFrame, table: str, key: str, name: str) -> DataFrame:
+        columns = (F.col(key).alias("key"), "day", F.col("item"), "n")
+        return unnest(lists, name, "item").select(F.lit(table).alias("name"), *columns)
+
+    tables = [
+        rows(read_days(spark, f"{out}/{table}").drop("bucket"), table, key, name)
+        for table, key, name in (
+            ("usertopic", "usr", "topics"), ("topicuser", "topic", "users"), ("userrepo", "usr", "repos")
+        )
+    ]
+    lists = read_latest(spark, f"{out}/useruser").withColumn("day", F.lit(None).cast("date"))
+    return reduce(DataFrame.unionByName, [*tables, rows(lists, "useruser", "usr", "follows")])
 
 
 def given_follows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,6 +456,12 @@ def catalog() -> dict[str, Query]:
         "publish_topic_user": publish_topic_user,
         "publish_user_user_late": publish_user_user_late,
         "publish_user_topic_emptied": publish_user_topic_emptied,
+        "publish_user_repo": publish_user_repo,
+        "publish_user_user_compacted": publish_user_user_compacted,
+        "event_rejects": event_rejects,
+        "daily_tables": daily_tables,
+        "user_repos_published": user_repos_published,
+        "network_topic_users_published": network_topic_users_published,
         "popular_users_given": lambda spark, sf_dir: follows.popular_users(
             given_follows(spark, sf_dir), MORE_THAN
         ),

@@ -8,16 +8,15 @@ r"""The daily job: from event files to the published tables.
 from __future__ import annotations
 
 import argparse
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from topicloom.functions.nulls import all_present
 from topicloom.operators import follows, topics
-from topicloom.operators.clean import clean_events, user_repo
-from topicloom.session import build_session
-from topicloom.sources.events import broken_lines, read_events, stored_events
-from topicloom.sources.tables import publish_days, publish_latest
+from topicloom.session import build_session, scratch_scope
+from topicloom.sources.events import judged_lines, staged_lines, stored_events
+from topicloom.sources.tables import BUCKETS, publish_days, publish_latest, read_days
 
 
 def run_days(
@@ -31,49 +30,51 @@ def run_days(
     id_field: str = "event_id",
     follows_of: DataFrame | None = None,
     most_broken: float = 0.01,
+    buckets: int = BUCKETS,
 ) -> dict[str, int]:
     """Read, clean and land the events of some days, then publish the tables.
 
-    The files hold those days whole; events of other days in them are left out. The event files
-    are read once: every later step reads the landed table, of which it needs a few columns and
-    only the folders of these days. ``repo_topics`` is the relation ``repo, topic`` and ``follows_of``
-    the relation ``usr, follow``, in which a repeated row counts once; without one it is simulated.
+    The files hold those days whole; events of other days in them are rejects. The event files are parsed
+    once, in one pass that counts and parts the lines; every later step reads what that pass wrote, or the
+    landed table, of which it needs a few columns and only the folders of these days. ``repo_topics`` is the
+    relation ``repo, topic`` and ``follows_of`` the relation ``usr, follow``, in which a repeated row counts
+    once; without one it is simulated. Rejected lines are published with the run (``rejects``).
 
-    Returns how many lines there were, how many were no JSON (an error beyond the share
-    ``most_broken``) and how many clean events were of other days.
+    Returns the lines per outcome (see ``judged_lines``). Broken ones beyond the share ``most_broken`` are an
+    error, before anything is published. Scratch folders are removed at the end.
     """
-    covered = F.col("day").between(F.lit(first), F.lit(last))
-
-    def of_these_days(table: str) -> DataFrame:
-        return spark.read.parquet(f"{out}/{table}").where(covered)
-
-    lines = broken_lines(stored_events(spark, *globs, id_field=id_field)).first()
-    if lines.broken > most_broken * lines.lines:
-        raise ValueError(f"{lines.broken} of {lines.lines} lines are no JSON")
-    clean = user_repo(clean_events(read_events(spark, *globs, id_field=id_field)))
-    publish_days(clean.where(covered), f"{out}/activity", "usr", covered=(first, last))
-    account = {"lines": lines.lines, "broken": lines.broken}
-    account["other_days"] = clean.where(~covered).count()
-    activity = of_these_days("activity")
-    # A given repository may have many topics: its activity is then counted before the join.
-    given = repo_topics is not None
-    repo_topics = repo_topics if given else topics.repo_topic(activity)
-
-    def publish(rows: DataFrame, table: str, key: str) -> None:
-        publish_days(rows, f"{out}/{table}", key, covered=(first, last))
-
-    publish(topics.user_topic_counts(activity, repo_topics, count_first=given), "counts", "usr")
-    counts = of_these_days("counts")
-    publish(topics.user_topic_day(counts), "usertopic", "usr")
-    publish(topics.topic_user_day(counts), "topicuser", "topic")
-    publish(topics.user_repo_day(activity), "userrepo", "usr")
-
-    if follows_of is not None:
-        edges = follows_of.select("usr", "follow").where("usr IS NOT NULL AND follow IS NOT NULL")
-        edges = edges.distinct()
-    else:
-        edges = follows.follow_edges(activity, follows.user_index(activity))
-    publish_latest(follows.user_user(edges), f"{out}/useruser", "usr", run)
+    with scratch_scope(spark):
+        stored = stored_events(spark, *globs, id_field=id_field)
+        lines, account = staged_lines(judged_lines(stored, id_field, first, last))
+        total = sum(account.values())
+        if account["broken"] > most_broken * total:
+            raise ValueError(f"{account['broken']} of {total} lines are no JSON")
+
+        def publish(rows: DataFrame, table: str, key: str) -> DataFrame:
+            """The table's rows of these days, as a reader finds them."""
+            path = f"{out}/{table}"
+            publish_days(rows, path, key, covered=(first, last), buckets=buckets)
+            within = (first - timedelta(days=1), last + timedelta(days=1))
+            return read_days(spark, path, *within).drop("bucket")
+
+        clean = lines.where("outcome = 'clean'").select("event_id", "usr", "repo", "day")
+        activity = publish(clean, "activity", "usr")
+        rejects = lines.where("outcome != 'clean'").select("file", "outcome", "event_id", "created_at", "line")
+        publish_latest(rejects, f"{out}/rejects", "file", run)
+        # A given repository may have many topics: its activity is then counted before the join.
+        given = repo_topics is not None
+        repo_topics = repo_topics if given else topics.repo_topic(activity)
+        counts = topics.user_topic_counts(activity, repo_topics, count_first=given)
+        counts = publish(counts, "counts", "usr")
+        publish(topics.user_topic_day(counts), "usertopic", "usr")
+        publish(topics.topic_user_day(counts), "topicuser", "topic")
+        publish(topics.user_repo_day(activity), "userrepo", "usr")
+        if follows_of is not None:
+            both = follows_of.select("usr", "follow").where(all_present("usr", "follow"))
+            edges = both.distinct()
+        else:
+            edges = follows.follow_edges(activity, follows.user_index(activity))
+        publish_latest(follows.user_user(edges), f"{out}/useruser", "usr", run)
     return account
 
 

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The folder of the innermost scope.
+_SCOPE: ContextVar[str | None] = ContextVar("scratch scope", default=None)
+
 
 def build_session(app: str, **settings: str) -> SparkSession:
     """Session with the settings the jobs rely on; the cluster's own settings come from submit."""
@@ -20,14 +26,44 @@ def build_session(app: str, **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever store it is; nothing happens if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)  # Spark's own functions remove nothing
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _base(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if spark.conf.get("spark.master").startswith("local"):
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch folders made inside are removed at the end, when what was computed has been written.
+
+    A DataFrame that was planned inside but is run after the end finds its files gone.
+    """
+    folder = f"{_base(spark)}/topicloom-{uuid.uuid4().hex}"
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        remove(spark, folder)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the cluster's shared checkpoint folder.
+    """A new path below the cluster's shared checkpoint folder, in the scope if there is one.
 
-    Without that setting the folder is below the warehouse, which is shared as well.
+    Without that setting a local session takes a folder below its warehouse; a cluster needs the setting.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
-    return f"{base.rstrip('/')}/topicloom-{uuid.uuid4().hex}/{name}"
+    scope = _SCOPE.get()
+    folder = f"{scope}/{uuid.uuid4().hex}" if scope else f"{_base(spark)}/topicloom-{uuid.uuid4().hex}"
+    return f"{folder}/{name}"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicloom.functions.text import event_day
+from topicloom.operators.clean import ACTIVITY_TYPES
+from topicloom.session import scratch_path
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -48,15 +53,10 @@ def stored_events(spark: SparkSession, *globs: str, id_field: str = "event_id")
     return reduce(DataFrame.unionByName, found)
 
 
-def broken_lines(events: DataFrame) -> DataFrame:
-    """One row of what ``stored_events`` returns: ``lines``, ``broken`` and those with a type, ``typed``.
-
-    Spark does not count broken lines alone.
-    """
-    broken = F.count(F.when(F.col(BROKEN).isNotNull(), F.lit(1)))
-    return events.agg(
-        F.count(F.lit(1)).alias("lines"), broken.alias("broken"), F.count("type").alias("typed")
-    )
+def event_ids(id_field: str) -> Column:
+    """The unique id in a field, as number or as digits; without one, a hash of the event stands in."""
+    fallback = F.xxhash64("type", "actor.login", "repo.name", "created_at")
+    return F.coalesce(F.col(id_field).try_cast("bigint"), fallback)
 
 
 def read_events(spark: SparkSession, *globs: str, id_field: str = "event_id") -> DataFrame:
@@ -64,12 +64,57 @@ def read_events(spark: SparkSession, *globs: str, id_field: str = "event_id") ->
 
     The schema is given, so no file is read twice to infer it. Gzip cannot be split: each file
     is one task, which is why the daily job lands the events as Parquet and reads that.
-    ``id_field`` names the unique id in the files, as number or as digits; without one, a
-    hash of the event stands in. Lines that are no JSON are left out; ``broken_lines`` counts them.
+    ``id_field`` names the unique id in the files (see ``event_ids``). Lines that are no JSON are left out;
+    ``judged_lines`` has them.
     """
     # Spark refuses a plan that reads nothing but the broken lines, so the type is named as well.
     whole = F.concat_ws("", F.col(BROKEN), F.substring("type", 1, 0)) == ""
     events = stored_events(spark, *globs, id_field=id_field).where(whole)
-    fallback = F.xxhash64("type", "actor.login", "repo.name", "created_at")
-    ids = F.coalesce(F.col(id_field).try_cast("bigint"), fallback)
-    return events.select(ids.alias("event_id"), "type", "actor", "repo", "created_at")
+    return events.select(event_ids(id_field).alias("event_id"), "type", "actor", "repo", "created_at")
+
+
+# What a line can be, in the order in which it is asked; the last is kept.
+OUTCOMES = ("broken", "other_type", "no_user", "no_repo", "no_time", "bad_time", "other_day", "clean")
+
+
+def judged_lines(stored: DataFrame, id_field: str, first: date, last: date) -> DataFrame:
+    """Every stored line with its ``outcome``, one of ``OUTCOMES``, and the ``file`` it is from.
+
+    Columns ``event_id, usr, repo, day`` as in the activity, ``created_at`` as stored, and ``line``, the text
+    of a broken line. Lines of other event types are not activity at all; the others that are not clean are
+    rejects. ``first`` and ``last`` are the days that the files are read for.
+    """
+    day = event_day(F.col("created_at"))
+    checks = (
+        F.col(BROKEN).isNotNull(),
+        ~F.coalesce(F.col("type").isin(*ACTIVITY_TYPES), F.lit(False)),
+        F.col("actor.login").isNull(),
+        F.col("repo.name").isNull(),
+        F.col("created_at").isNull(),
+        day.isNull(),
+        ~day.between(F.lit(first), F.lit(last)),
+    )
+    found = [F.when(check, F.lit(name)) for check, name in zip(checks, OUTCOMES, strict=False)]
+    return stored.select(
+        F.when(F.col(BROKEN).isNull(), event_ids(id_field)).alias("event_id"),
+        F.col("actor.login").alias("usr"),
+        F.col("repo.name").alias("repo"),
+        day.alias("day"),
+        "created_at",
+        F.col(BROKEN).alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.coalesce(*found, F.lit(OUTCOMES[-1])).alias("outcome"),
+    )
+
+
+def staged_lines(lines: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Judged lines written to scratch in one pass, without those of other types, and lines per outcome.
+
+    The files are parsed here and nowhere else. What follows reads the folder of the outcome it needs.
+    """
+    spark, counts = lines.sparkSession, Observation()
+    path = scratch_path(spark, "lines")
+    number = [F.count_if(F.col("outcome") == name).alias(name) for name in OUTCOMES]
+    kept = lines.observe(counts, *number).where(F.col("outcome") != "other_type")
+    kept.write.partitionBy("outcome").parquet(path)
+    return spark.read.schema(lines.schema).parquet(path), counts.get
