@@ -164,6 +164,11 @@ def _nulls(column: str) -> str:
         WHERE type IN ('ForkEvent', 'CommitCommentEvent')"""
 
 
+DAY_LISTS = """
+    SELECT 'usertopic' AS name, usr AS key, day, topic AS item, n FROM counts
+    UNION ALL SELECT 'topicuser', topic, day, usr, n FROM counts
+    UNION ALL SELECT 'userrepo', usr, day, repo, n FROM repo_counts"""
+
 REJECTS = f"""
     SELECT * FROM (
       SELECT CASE WHEN event_id % 41 = 0 THEN 'broken' WHEN login IS NULL THEN 'no_user'
@@ -280,11 +285,34 @@ def oracle_queries() -> dict[str, str]:
         "publish_user_user_compacted": _events(follow_lists),
         "event_rejects": _events(REJECTS),
         "daily_tables": _events(
-            """SELECT 'usertopic' AS name, usr AS key, day, topic AS item, n FROM counts
-               UNION ALL SELECT 'topicuser', topic, day, usr, n FROM counts
-               UNION ALL SELECT 'userrepo', usr, day, repo, n FROM repo_counts
+            DAY_LISTS + """
                UNION ALL SELECT 'useruser', usr, NULL, follow, count(*) FROM edges GROUP BY usr, follow"""
         ),
+        "tables_by_deltas": _events(DAY_LISTS),
+        "load_events_stream": _events(
+            "SELECT event_id, usr, repo, day FROM activity WHERE event_id % 2 = 0 OR event_id % 3 <> 2"
+        ),
+        "network_topics_requests": _events(
+            """SELECT DISTINCT r.usr AS request, t.topic
+               FROM (SELECT usr, min(day) AS start, min(day) + CAST(4 + count(*) % 23 AS INT) AS "end"
+                     FROM activity GROUP BY usr) r
+               JOIN (SELECT DISTINCT usr, follow FROM edges) e ON e.usr = r.usr
+               JOIN counts t ON t.usr = e.follow AND t.day > r.start AND t.day < r."end\""""
+        ),
+        "topic_users_any_window": _events(
+            """SELECT topic, start, "end", usr, first_day
+               FROM (SELECT w.topic, w.start, w."end", t.usr, min(t.day) AS first_day,
+                            row_number() OVER (PARTITION BY w.topic, w.start, w."end"
+                                               ORDER BY min(t.day), t.usr) AS place
+                     FROM (SELECT topic, CAST(a.day AS DATE) AS start, CAST(b.day AS DATE) AS "end"
+                           FROM (SELECT topic, min(day) AS first, max(day) AS last FROM counts GROUP BY topic),
+                                generate_series(first - 1, last, INTERVAL 1 DAY) a(day),
+                                generate_series(first, last + 1, INTERVAL 1 DAY) b(day)
+                           WHERE a.day < b.day) w
+                     JOIN counts t ON t.topic = w.topic AND t.day > w.start AND t.day < w."end"
+                     GROUP BY w.topic, w.start, w."end", t.usr)
+               WHERE place <= 5"""
+        ),
         "user_repos_published": _events(
             f"SELECT DISTINCT repo FROM activity WHERE usr = {user} AND {_within(c.START, c.TOPIC_END)}"
         ),

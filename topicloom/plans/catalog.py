@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.text import event_day, in_window, picker_text
 from topicloom.functions.vocabulary import TOPICS, topic_vocabulary
-from topicloom.operators import clean, follows, serve, topics
+from topicloom.operators import clean, follows, serve, topics, windows
 from topicloom.operators.lists import unnest
 from topicloom.plans import lookup
+from topicloom.plans.changes import apply_changes
 from topicloom.plans.daily import run_days
 from topicloom.session import saved, scratch_path
 from topicloom.sources.events import judged_lines, read_events, staged_lines, stored_events
@@ -30,6 +31,7 @@ from topicloom.sources.tables import (
     remove_merged,
 )
 from topicloom.sources.testdata import raw_events, star_activity, star_orders, star_topics, table
+from topicloom.streaming import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -319,24 +321,91 @@ def event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.where("outcome != 'clean'").select("outcome", "event_id", "line")
 
 
+def _list_rows(lists: DataFrame, table: str, key: str, name: str) -> DataFrame:
+    rows = unnest(lists, name, "item")
+    return rows.select(F.lit(table).alias("name"), F.col(key).alias("key"), "day", "item", "n")
+
+
+def day_lists(spark: SparkSession, out: str) -> DataFrame:
+    """The published day lists as rows."""
+    tables = (("usertopic", "usr", "topics"), ("topicuser", "topic", "users"), ("userrepo", "usr", "repos"))
+    rows = [_list_rows(read_days(spark, f"{out}/{table}"), table, key, name) for table, key, name in tables]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def daily_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything that the daily job publishes, from files of all days, read back."""
     out, files = scratch_path(spark, "tables"), scratch_path(spark, "json")
     raw_events(spark, sf_dir).write.json(files, compression="gzip")
     run_days(spark, [files], out, date(2024, 1, 1), date(2024, 1, 31), run=1, buckets=FEW)
 
-    def rows(lists: DataFrame, table: str, key: str, name: str) -> DataFrame:
-        columns = (F.col(key).alias("key"), "day", F.col("item"), "n")
-        return unnest(lists, name, "item").select(F.lit(table).alias("name"), *columns)
-
-    tables = [
-        rows(read_days(spark, f"{out}/{table}").drop("bucket"), table, key, name)
-        for table, key, name in (
-            ("usertopic", "usr", "topics"), ("topicuser", "topic", "users"), ("userrepo", "usr", "repos")
-        )
-    ]
     lists = read_latest(spark, f"{out}/useruser").withColumn("day", F.lit(None).cast("date"))
-    return reduce(DataFrame.unionByName, [*tables, rows(lists, "useruser", "usr", "follows")])
+    return day_lists(spark, out).unionByName(_list_rows(lists, "useruser", "usr", "follows"))
+
+
+def user_requests(activity: DataFrame) -> DataFrame:
+    """One request per user, who asks for some days from their own first one on."""
+    own = activity.groupBy("usr").agg(F.min("day").alias("start"), F.count("*").alias("n"))
+    length = (F.lit(4) + F.col("n") % 23).cast("int")
+    return own.select(F.col("usr").alias("request"), "usr", "start", F.date_add("start", length).alias("end"))
+
+
+def network_topics_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user of the events asks for the topics of the network at once."""
+    activity = _activity(spark, sf_dir)
+    return windows.network_topics_requests(
+        _counts(spark, sf_dir), _edges(spark, sf_dir), user_requests(activity)
+    )
+
+
+def topic_users_any_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first users of every topic in every window between its first and last day."""
+    counts = saved(_counts(spark, sf_dir), "counts")
+    spans = counts.groupBy("topic").agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    starts = F.explode(F.expr("sequence(date_sub(first, 1), last)")).alias("start")
+    ends = F.explode(F.expr("sequence(date_add(start, 1), date_add(last, 1))")).alias("end")
+    asked = spans.select("topic", "last", starts).select("topic", "start", ends)
+    asked = asked.withColumn("request", F.struct("topic", "start", "end"))
+    found = windows.topic_users_requests(windows.first_users(counts), asked)
+    return found.select("request.*", "usr", "first_day")
+
+
+def tables_by_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables built with events missing, wrong and too many, then put right by their changes."""
+    out = scratch_path(spark, "tables")
+    activity = saved(_activity(spark, sf_dir), "activity")
+    event = F.col("event_id")
+    late, wrong, extra = event % 3 == 0, event % 7 == 1, event % 5 == 2
+    other = F.when(wrong, F.lit("r1")).otherwise(F.col("repo")).alias("repo")
+    moved = F.when(wrong, F.date_add("day", 1)).otherwise(F.col("day")).alias("day")
+    kept = activity.where(~late).select("event_id", "usr", other, moved)
+    surplus = activity.where(extra).withColumn("event_id", -event)
+    before = saved(kept.unionByName(surplus), "before")
+    repo_topics = saved(topics.repo_topic(before.unionByName(activity)), "repo_topics")
+    counts = saved(topics.user_topic_counts(before, repo_topics), "counts")
+    for rows, name, key in (
+        (before, "activity", "usr"),
+        (counts, "counts", "usr"),
+        (topics.user_topic_day(counts), "usertopic", "usr"),
+        (topics.topic_user_day(counts), "topicuser", "topic"),
+        (topics.user_repo_day(before), "userrepo", "usr"),
+    ):
+        publish_days(rows, f"{out}/{name}", key, buckets=2)
+    right = activity.where(late | wrong).withColumn("withdrawn", F.lit(False))
+    changes = right.unionByName(surplus.withColumn("withdrawn", F.lit(True)))
+    apply_changes(spark, out, changes, repo_topics)
+    return day_lists(spark, out)
+
+
+def load_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of files, of which the second repeats events of the first, loaded as they come."""
+    files, out = scratch_path(spark, "drops"), scratch_path(spark, "tables")
+    checkpoint = scratch_path(spark, "checkpoint")
+    raw = raw_events(spark, sf_dir)
+    for part in (F.col("event_id") % 2 == 0, F.col("event_id") % 3 != 2):
+        raw.where(part).coalesce(2).write.mode("append").json(files, compression="gzip")
+        load_new_files(spark, files, out, checkpoint, buckets=2)
+    return read_days(spark, f"{out}/activity").drop("bucket")
 
 
 def given_follows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,6 +529,10 @@ def catalog() -> dict[str, Query]:
         "publish_user_user_compacted": publish_user_user_compacted,
         "event_rejects": event_rejects,
         "daily_tables": daily_tables,
+        "tables_by_deltas": tables_by_deltas,
+        "load_events_stream": load_events_stream,
+        "network_topics_requests": network_topics_requests,
+        "topic_users_any_window": topic_users_any_window,
         "user_repos_published": user_repos_published,
         "network_topic_users_published": network_topic_users_published,
         "popular_users_given": lambda spark, sf_dir: follows.popular_users(

@@ -113,6 +113,7 @@ def publish_days(
     whole_days: bool = True,
     covered: tuple[date, date] | None = None,
     touched: DataFrame | None = None,
+    by: list[str] | None = None,
     buckets: int = BUCKETS,
 ) -> list[date]:
     """Write a day table, replacing the days it covers and leaving all others; returns the days written.
@@ -122,9 +123,11 @@ def publish_days(
 
     ``whole_days=False`` is for a run that covers only part of its days: stored rows of those
     days whose (key, day) the run does not bring are kept. ``touched`` names the (key, day) that the run
-    decides, in place of those it has rows of: one without rows is gone.
+    decides, in place of those it has rows of: one without rows is gone. ``by`` names other columns than the
+    key that decide which rows are the same, such as an id.
 
-    The plan of ``df`` runs once. ``buckets`` counts for a new table only.
+    Rows are dealt into ranges, for which Spark runs the last stage of the plan of ``df`` once more to draw a
+    sample. ``buckets`` counts for a new table only.
     """
     spark = df.sparkSession
     log = day_log(spark, path)
@@ -134,14 +137,14 @@ def publish_days(
     df = df.select(*names)
     if not whole_days:
         df = saved(df, "run")  # read several times below
-        decided = df.select(key, "day") if touched is None else touched.select(key, "day")
-        decided = saved(decided.distinct(), "touched")
+        by = by or [key]
+        decided = saved((df if touched is None else touched).select(*by, "day").distinct(), "touched")
         days = [r.day for r in decided.select("day").distinct().collect()]  # a row per day
         live = log.where(F.col("day").isin(days)).collect() if days else []
         folders = [f"{path}/batch={r.batch}/day={r.day.isoformat()}" for r in live]
         if folders:
             stored = spark.read.option("basePath", path).parquet(*folders).select(*names)
-            df = df.unionByName(stored.join(decided, [key, "day"], "left_anti"))
+            df = df.unionByName(stored.join(decided, [*by, "day"], "left_anti"))
     batch = _new_batch()
     # Ranges of day, bucket and key: a day with much of the data has many files, none of two buckets
     # but at the border, and a key lookup skips files and row groups.
