@@ -324,6 +324,20 @@ def oracle_queries() -> dict[str, str]:
             f"""SELECT follow, count(DISTINCT usr) AS n FROM given
                 GROUP BY follow HAVING count(DISTINCT usr) > {c.MORE_THAN}"""
         ),
+        "popular_users_sketched": _star(
+            "SELECT follow, count(DISTINCT usr) AS n, true AS near FROM given GROUP BY follow"
+        ),
+        "ego_network_hops": _events(
+            f"""SELECT start, usr, min(distance)::INT AS distance FROM (
+                  WITH RECURSIVE tenth AS (
+                    SELECT DISTINCT usr, follow FROM edges WHERE event_id % 10 = 0
+                  ), hop(start, usr, distance) AS (
+                    SELECT DISTINCT usr, usr, 0 FROM tenth WHERE usr IN ({user}, 'u1')
+                    UNION SELECT h.start, t.follow, h.distance + 1
+                    FROM hop h JOIN tenth t ON t.usr = h.usr WHERE h.distance < {c.HOPS}
+                  ) SELECT * FROM hop)
+                GROUP BY start, usr"""
+        ),
         "network_topics_given": _star(
             _network("supplier_counts", "given", str(c.STAR_USER), c.STAR_START, c.STAR_END)
         ),

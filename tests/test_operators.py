@@ -16,7 +16,7 @@ from topicloom.functions.text import (
     picker_text,
 )
 from topicloom.functions.vocabulary import TOPICS, topic_vocabulary
-from topicloom.operators import clean, follows, serve, topics
+from topicloom.operators import clean, follows, network, serve, topics
 from topicloom.sources.events import EVENT_SCHEMA
 from topicloom.sources.testdata import raw_events
 
@@ -234,6 +234,33 @@ def test_popular_users(spark):
     assert [tuple(r) for r in follows.popular_users(df, 5).collect()] == [("star", 7)]
 
 
+@pytest.mark.parametrize("floor", [2, 100_000])
+def test_ego_network_hops(spark, floor):
+    """A hub, a cycle, a chain longer than the steps, a start without edges, null ends."""
+    edges = [("a", "b"), ("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("e", "f"), ("f", "g")]
+    edges += [("b", f"h{k}") for k in range(9)] + [("h1", "d"), ("a", None), (None, "a"), ("x", "x")]
+    df = spark.createDataFrame(edges, "usr string, follow string")
+    starts = spark.createDataFrame([("a",), ("x",), ("lonely",), (None,), ("a",)], "usr string")
+    found = {(r.start, r.usr): r.distance for r in network.ego_network_hops(df, starts, 4, floor=floor).collect()}
+    expected = {("a", k): d for k, d in {"a": 0, "b": 1, "c": 2, "d": 3, "e": 4}.items()}
+    expected |= {("a", f"h{k}"): 2 for k in range(9)} | {("x", "x"): 0, ("lonely", "lonely"): 0}
+    assert found == expected
+    assert network.ego_network_hops(df, starts.limit(0), 4).isEmpty()
+
+
+def test_follower_sketches_merge(spark):
+    """Many followers within the stated error, few exactly, over runs that overlap."""
+    edges = spark.range(30_000).select(
+        F.col("id").alias("usr"), F.when(F.col("id") % 10 < 9, F.lit("star")).otherwise(F.lit("b")).alias("follow")
+    )
+    edges = edges.unionByName(spark.createDataFrame([(1, "c"), (1, "c"), (2, "c"), (None, "c")], "usr long, follow string"))
+    runs = [follows.follower_sketches(edges.where(F.col("usr") % 4 >= k)) for k in range(3)]
+    merged = follows.estimated_followers(runs[0].unionByName(runs[1]).unionByName(runs[2]))
+    found = {r.follow: r.estimate for r in merged.collect()}
+    assert found["c"] == 2
+    assert abs(found["star"] / 27_000 - 1) < 4 * follows.SKETCH_ERROR > abs(found["b"] / 3_000 - 1)
+
+
 def test_inverse_relation(activity):
     counts = topics.user_topic_counts(activity, topics.repo_topic(activity)).persist()
     by_user = Counter()

@@ -10,7 +10,14 @@ from oracle import oracle_queries
 from topicloom.plans.catalog import catalog
 
 SF_DIRS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
-TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DATE": "date", "DOUBLE": "double"}
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "DATE": "date",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+}
 QUERIES = catalog()
 ORACLE = oracle_queries()
 

@@ -12,7 +12,7 @@ from topicloom.operators.clean import clean_events, flat_events, user_repo
 from topicloom.operators.lists import unnest
 from topicloom.plans import lookup
 from topicloom.plans.daily import run_days
-from topicloom.session import scratch_path
+from topicloom.session import scratch_path, scratch_scope
 from topicloom.sources import events as event_source
 from topicloom.sources.events import judged_lines, read_events, staged_lines, stored_events
 from topicloom.sources.tables import (
@@ -213,6 +213,24 @@ def test_lookup_of_a_network_reads_its_buckets_only(spark, daily):
     }
 
 
+def test_scratch_ends_with_its_scope(spark, daily):
+    _, out = daily
+    before = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/topicloom-*"))
+    with scratch_scope(spark) as folder:
+        found = lookup.topics_of_network(spark, out, "u8", "Tue Jan 02 2024", "Sat Jan 06 2024").collect()
+        assert found and glob.glob(f"{folder}/*")
+    assert set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/topicloom-*")) == before
+
+
+def test_cluster_needs_a_shared_folder(spark, monkeypatch):
+    set_to = {"spark.checkpoint.dir": None, "spark.master": "spark://host:7077", "spark.sql.warehouse.dir": "/w/"}
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *default: set_to[key])
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(spark, "x")
+    set_to["spark.master"] = "local[2]"
+    assert scratch_path(spark, "x").startswith("/w/_scratch/topicloom-")
+
+
 def test_files_of_a_bucket_have_disjoint_keys(spark, tmp_path):
     usr = F.concat(F.lit("u"), (F.col("id") % 20_000).cast("string"))
     table = spark.range(0, 100_000, 1, 8).select(usr.alias("usr"), F.lit(DAYS[0]).alias("day"), F.md5(usr).alias("x"))

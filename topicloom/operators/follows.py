@@ -87,3 +87,29 @@ def popular_users(edges: DataFrame, more_than: int) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > more_than)
     )
+
+
+# Registers of a sketch are 2**12: estimates are off by 1.04 / 2**6 of the number as a standard error.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def follower_sketches(edges: DataFrame) -> DataFrame:
+    """``follow, sketch``: the different followers as a sketch of some kilobytes at most.
+
+    Sketches of several runs or days merge into that of all their edges, so a count over runs reads a row
+    per followed user and run, not the edges. Edges with a null end count for nothing.
+    """
+    whole = edges.where(F.col("usr").isNotNull() & F.col("follow").isNotNull())
+    sketch = F.hll_sketch_agg(F.col("usr").cast("string"), F.lit(SKETCH_BITS)).alias("sketch")
+    return whole.groupBy("follow").agg(sketch)
+
+
+def estimated_followers(sketches: DataFrame) -> DataFrame:
+    """``follow, estimate``: the followers of all sketches of a user together.
+
+    The standard error is ``SKETCH_ERROR`` of the number; a few dozen followers are counted exactly.
+    ``popular_users`` is the exact count.
+    """
+    merged = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy("follow").agg(merged.alias("estimate"))

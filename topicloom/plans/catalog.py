@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.text import event_day, in_window, picker_text
 from topicloom.functions.vocabulary import TOPICS, topic_vocabulary
-from topicloom.operators import clean, follows, serve, topics, windows
+from topicloom.operators import clean, follows, network, serve, topics, windows
 from topicloom.operators.lists import unnest
 from topicloom.plans import lookup
 from topicloom.plans.changes import apply_changes
@@ -28,6 +28,7 @@ from topicloom.sources.tables import (
     publish_latest,
     read_days,
     read_latest,
+    read_runs,
     remove_merged,
 )
 from topicloom.sources.testdata import raw_events, star_activity, star_orders, star_topics, table
@@ -40,6 +41,7 @@ TOPIC = TOPICS[118]
 START, END = date(2024, 1, 2), date(2024, 1, 6)
 TOPIC_END = date(2024, 1, 20)
 MORE_THAN = 80
+HOPS = 3
 REJECT_DAYS = (date(2024, 1, 1), date(2024, 1, 20))
 
 STAR_USER = 8
@@ -428,6 +430,26 @@ def supplier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.user_topic_counts(within, star_topics(spark, sf_dir, "p_type"), count_first=True)
 
 
+def ego_network_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whom every tenth event's follows lead to from two users, within three steps."""
+    edges = _edges(spark, sf_dir).where(F.col("event_id") % 10 == 0)
+    starts = edges.where(F.col("usr").isin(USER, "u1")).select("usr")
+    return network.ego_network_hops(edges, starts, HOPS)
+
+
+def popular_users_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact numbers of followers, and whether the merged sketches of three runs come near each."""
+    edges = saved(given_follows(spark, sf_dir), "given")
+    path = scratch_path(spark, "sketches")
+    for run in range(3):
+        part = edges.where((F.col("usr") + F.col("follow")) % 3 >= run)  # runs overlap
+        publish_latest(follows.follower_sketches(part), path, "follow", run)
+    near = follows.estimated_followers(read_runs(spark, path))
+    off = F.abs(F.col("estimate") - F.col("n")) / F.col("n")
+    exact = follows.popular_users(edges, 0).join(near, "follow", "left")
+    return exact.select("follow", "n", (off <= 4 * follows.SKETCH_ERROR).alias("near"))
+
+
 def network_topics_given(spark: SparkSession, sf_dir: str) -> DataFrame:
     followed = serve.user_follows(given_follows(spark, sf_dir), STAR_USER)
     return serve.network_topics(supplier_counts(spark, sf_dir), followed, STAR_START, STAR_END)
@@ -538,6 +560,8 @@ def catalog() -> dict[str, Query]:
         "popular_users_given": lambda spark, sf_dir: follows.popular_users(
             given_follows(spark, sf_dir), MORE_THAN
         ),
+        "popular_users_sketched": popular_users_sketched,
+        "ego_network_hops": ego_network_hops,
         "network_topics_given": network_topics_given,
         "network_topic_users_given": network_topic_users_given,
     }
