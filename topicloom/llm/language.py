@@ -167,10 +167,14 @@ def learn(
     return fit(x, labels)
 
 
+def lettered(texts: pa.Array) -> pa.Array:
+    """Which texts have a letter."""
+    return pc.match_substring_regex(texts.cast(pa.large_string()), r"\p{L}").fill_null(False)
+
+
 def guesses(model: Model | None, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Language and score of texts; ``und`` and 0 for one without a letter or without a model."""
-    has = pc.match_substring_regex(texts.cast(pa.large_string()), r"\p{L}")
-    known = np.asarray(has.fill_null(False), dtype=bool)
+    known = np.asarray(lettered(texts), dtype=bool)
     lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
     if model is not None:
         guess, sure = model.predict(features(texts))
@@ -185,7 +189,8 @@ def identified(
     """The rows of ``docs`` whose language is known, all columns as they came but for a null language.
 
     Rows that are ``und`` (see ``languages``) go; a null language becomes the predicted one. Rows do
-    not move. Learned from the rows that have a language.
+    not move. Learned from the rows that have a language; if there are none, languages stay null and only rows
+    without a letter go.
     """
     model = docs.sparkSession.sparkContext.broadcast(
         learn(docs, sample, id_col, text_col, lang_col)
@@ -194,6 +199,9 @@ def identified(
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text_col, SLICE):
+                if model.value is None:
+                    yield part.filter(lettered(part.column(text_col)))
+                    continue
                 lang, _ = guesses(model.value, part.column(text_col))
                 at = part.schema.get_field_index(lang_col)
                 kind = part.schema.field(at).type
