@@ -228,6 +228,7 @@ def oracle_queries() -> dict[str, str]:
         "user_topic_counts": _events("SELECT * FROM counts_coded"),
         "user_topic_counts_clean": _events("SELECT * FROM counts"),
         "user_topic_counts_star": _star("SELECT * FROM counts"),
+        "user_topic_counts_joined": _star("SELECT * FROM brand_counts"),
         "user_topic_day": _events(topic_lists),
         "user_topic_day_coded": _events(_lists("counts_coded", "usr, day", "topic", "topics")),
         "user_topic_day_star": _star(topic_lists),

@@ -496,6 +496,9 @@ def catalog() -> dict[str, Query]:
         "user_topic_counts": _coded_counts,
         "user_topic_counts_clean": _counts,
         "user_topic_counts_star": _star_counts,
+        "user_topic_counts_joined": lambda spark, sf_dir: topics.user_topic_counts(
+            star_activity(spark, sf_dir), star_topics(spark, sf_dir, "p_brand")
+        ),
         "user_index": lambda spark, sf_dir: follows.user_index(_activity(spark, sf_dir)),
         "follow_edges": _edges,
         "follow_edges_coded": _coded_edges,
