@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from topicloom.llm.components import components
 from topicloom.llm.words import _LOWER, Words, slices, text_buffer, words
