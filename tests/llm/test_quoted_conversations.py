@@ -33,7 +33,8 @@ def made_conversations(rows, rng):
                 if kind == "nested":
                     quote = quoted(sent[answers])
                 elif kind == "part":
-                    quote = quoted(rng.choice(own[answers].split("\n")).upper())
+                    line = rng.choice(own[answers].split("\n"))
+                    quote = quoted(re.sub("[a-z]", lambda m: m[0].upper(), line))
                 elif kind == "wrapped":
                     words = re.sub(r"\s+", " ", own[answers])
                     quote = quoted("\n".join(textwrap.wrap(words, 40, break_long_words=False, break_on_hyphens=False)))

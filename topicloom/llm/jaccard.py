@@ -7,7 +7,9 @@ looked at when other links already join its two sides:
 
 1. every class is compared with one leader of each prefix shingle it shares; these links are joined;
 2. pairs that are still apart and share a prefix shingle pass the filters in blocks of at most two
-   times ``BLOCK`` members, and what is left is verified.
+   times ``BLOCK`` members. What is left goes on as packed lists, one for each two ``BUNDLE`` of classes, in
+   which the sets of those classes meet once and every pair is verified there: only links leave. Classes are
+   numbered by their rarest shingle, so classes that are alike are in few bundles.
 
 The order of shingles is by how many documents have them, as counted over all documents in a table of
 ``COUNTERS`` counters (a shingle counts at a fixed place, so the table has the same size whatever the
@@ -19,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,13 +30,16 @@ from pyspark.sql.types import StructField, StructType
 
 from topicloom.llm.components import components
 from topicloom.llm.counters import SCHEMA, counter_rows, summed
-from topicloom.llm.words import shingle_sets, slices
+from topicloom.llm.words import distinct, shingle_sets, slices
 from topicloom.session import saved
 
 COUNTERS = 1 << 20  # 4 MB
 BLOCK = 512
 WANTED = 1 << 22  # bits of a bitmap of keys
 BUCKET = 1 << 15  # of them in one of Spark's bitmaps
+BUNDLE = 128  # classes whose sets are sent together, by their numbers
+FEW = 32  # pairs of two bundles that are compared one at a time
+COLUMNS = 1 << 14  # shingles of two bundles that are multiplied at once
 LANES = 128  # of a set's histogram, by the highest bits of its hashes
 
 
@@ -196,8 +202,28 @@ def leader_pairs(members: DataFrame, percent: int) -> DataFrame:
     return both.drop("x").mapInArrow(keep, PAIR).distinct()
 
 
+PACKED = "a bigint, b bigint, pairs binary"
+
+
+def _packed(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    """Pairs of class numbers as one row for each two bundles, smaller numbers first."""
+    low, high = np.minimum(x, y), np.maximum(x, y)
+    first, second = low // BUNDLE, high // BUNDLE
+    code = (low % BUNDLE * BUNDLE + high % BUNDLE).astype(np.uint16)
+    order = np.lexsort((code, second, first))
+    first, second, code = first[order], second[order], code[order]
+    cuts = np.flatnonzero(
+        np.append(True, (first[1:] != first[:-1]) | (second[1:] != second[:-1]))[: len(code)]
+    )
+    lists = [np.unique(part).tobytes() for part in np.split(code, cuts[1:])] if len(code) else []
+    return pa.RecordBatch.from_arrays(
+        [pa.array(first[cuts]), pa.array(second[cuts]), pa.array(lists, pa.binary())],
+        ["a", "b", "pairs"],
+    )
+
+
 def block_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs with different labels that share a prefix shingle, after the filters.
+    """Pairs with different labels that share a prefix shingle, after the filters, in rows of ``PACKED``.
 
     The members of a shingle are dealt into blocks, and each two blocks meet in a cell of their own,
     so that a group of any size is spread over many tasks and none holds more than two blocks.
@@ -212,14 +238,14 @@ def block_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFram
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
-        .select("x", "i", "j", "block", "key", "label", "n", "pos", "lanes")
+        .select("x", "i", "j", "block", "num", "label", "n", "pos", "lanes")
         .repartition("x", "i", "j")
         .sortWithinPartitions("x", "i", "j")
     )
 
     def compare(table: pa.Table) -> pa.RecordBatch:
         rows = table.num_rows
-        names = ("x", "i", "j", "block", "n", "pos", "key", "label")
+        names = ("x", "i", "j", "block", "n", "pos", "num", "label")
         x, i, j, block, n, pos, keys, label = (_numbers(table, c) for c in names)
         lanes = _column(table, "lanes", LANES)
         group = np.cumsum(
@@ -237,7 +263,7 @@ def block_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFram
                            lambda k, b=b: lanes[b[k]], percent)
             left.append(keys[a[ok]])
             right.append(keys[b[ok]])
-        return _pairs(np.concatenate(left), np.concatenate(right))
+        return _packed(np.concatenate(left), np.concatenate(right))
 
     def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -257,7 +283,91 @@ def block_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFram
         if rest is not None:
             yield compare(rest.combine_chunks())
 
-    return cells.mapInArrow(cells_of, PAIR).distinct()
+    return cells.mapInArrow(cells_of, PACKED)
+
+
+def merged(packed: DataFrame) -> DataFrame:
+    """``packed`` with each pair once: classes that share many shingles come from many cells."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [np.frombuffer(p, np.uint16) for p in batch.column("pairs").to_pylist()]
+            sizes = list(map(len, codes))
+            code = np.concatenate([np.zeros(0, np.uint16), *codes]).astype(np.int64)
+            first, second = (np.repeat(_numbers(batch, c), sizes) * BUNDLE for c in ("a", "b"))
+            yield _packed(first + code // BUNDLE, second + code % BUNDLE)
+
+    return packed.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(emit, PACKED)
+
+
+def members_of_pairs(packed: DataFrame) -> DataFrame:
+    """``a, b, num``: the classes of two bundles that are in any of their pairs."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, second, nums = [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("a", "b", "pairs"))
+            for a, b, pairs in zip(*columns, strict=True):
+                code = np.frombuffer(pairs, np.uint16).astype(np.int64)
+                own = np.append(a * BUNDLE + code // BUNDLE, b * BUNDLE + code % BUNDLE)
+                nums.append(np.unique(own))
+                first.append(np.full(len(nums[-1]), a))
+                second.append(np.full(len(nums[-1]), b))
+            columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in (first, second, nums)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "num"])
+
+    return packed.mapInArrow(emit, "a bigint, b bigint, num bigint").distinct()
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set on the left shares with each on the right."""
+    sides = [np.concatenate(side) for side in (left, right)]
+    rows = [np.repeat(np.arange(len(side)), list(map(len, side))) for side in (left, right)]
+    both = np.intersect1d(distinct(sides[0]), distinct(sides[1]), assume_unique=True)
+    found = []
+    for x, row in zip(sides, rows, strict=True):
+        place = np.minimum(np.searchsorted(both, x), max(0, len(both) - 1))
+        shared = both[place] == x if len(both) else np.zeros(len(x), bool)
+        found.append((place[shared], row[shared]))
+    total = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(both), COLUMNS):
+        tables = []
+        for (place, row), side in zip(found, (left, right), strict=True):
+            near = (place >= at) & (place < at + COLUMNS)
+            table = np.zeros((len(side), min(COLUMNS, len(both) - at)), np.float32)
+            table[row[near], place[near] - at] = 1
+            tables.append(table)
+        total += tables[0] @ tables[1].T
+    return total
+
+
+def bundle_links(packed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs of ``packed`` whose sets are similar enough, as keys; ``sets`` are ``num, key, shingles``.
+
+    Of two bundles only the sets come together that are in a pair, each once, however many pairs it is in.
+    """
+    sent = members_of_pairs(packed).join(sets, "num")
+
+    def check(pairs, members):
+        held = {n: k for k, n in enumerate(members["num"])}
+        keys = members["key"].to_numpy(np.int64)
+        own = [np.frombuffer(s, np.uint64) for s in members["shingles"]]
+        size = np.array([len(s) for s in own])
+        code = np.unique(np.concatenate([np.frombuffer(p, np.uint16) for p in pairs["pairs"]]))
+        code = code.astype(np.int64)
+        low = pairs["a"].iloc[0] * BUNDLE + code // BUNDLE
+        high = pairs["b"].iloc[0] * BUNDLE + code % BUNDLE
+        x, y = (np.array([held[n] for n in side.tolist()]) for side in (low, high))
+        if len(code) <= FEW:
+            common = [len(np.intersect1d(own[i], own[j], assume_unique=True)) for i, j in zip(x, y)]
+        else:
+            (us, at), (vs, to) = (np.unique(side, return_inverse=True) for side in (x, y))
+            common = overlaps([own[i] for i in us], [own[j] for j in vs])[at, to]
+        common = np.array(common, np.int64)
+        ok = 100 * common >= percent * (size[x] + size[y] - common)
+        return pd.DataFrame({"a": keys[x[ok]], "b": keys[y[ok]]})
+
+    return packed.groupBy("a", "b").cogroup(sent.groupBy("a", "b")).applyInPandas(check, PAIR)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -305,7 +415,12 @@ def jaccard_components(
     # The leader of a shingle: the class with the fewest rarer shingles, then by hash.
     rank = F.col("pos").cast("bigint") * (1 << 40) + F.pmod(F.xxhash64("key"), F.lit(1 << 40))
     groups = shared.groupBy("x").agg(F.count("*").alias("count"), F.min(rank).alias("first"))
-    lanes = sets.where("lanes IS NOT NULL").groupBy("key").agg(F.first("lanes").alias("lanes"))
+    lanes = sets.where("lanes IS NOT NULL").groupBy("key").agg(
+        F.first("lanes").alias("lanes"), F.first(F.col("prefix")[0]).alias("rarest")
+    )
+    # Numbered in ranges of the rarest shingle; numbers have gaps between ranges.
+    ranges = lanes.repartitionByRange("rarest", "key").sortWithinPartitions("rarest", "key")
+    lanes = saved(ranges.select("key", "lanes", F.monotonically_increasing_id().alias("num")), "lanes")
     members = (
         shared.join(saved(groups, "groups"), "x")
         .withColumn("leads", rank == F.col("first"))
@@ -316,17 +431,19 @@ def jaccard_components(
     classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("rep"))
     classes = saved(classes, "classes")
 
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs that are similar enough, each compared once."""
-        keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        wanted = saved(classes.join(keys, "key"), f"{name}_wanted")
-        whole = saved(wanted_sets(docs, wanted, id_col, text_col, size), f"{name}_sets")
-        return saved(verified(pairs, whole, percent), f"{name}_links")
+    def whole(keys: DataFrame, name: str) -> DataFrame:
+        """The sets of the classes in a relation ``key``."""
+        wanted = saved(classes.join(keys.distinct(), "key"), f"{name}_wanted")
+        return saved(wanted_sets(docs, wanted, id_col, text_col, size), f"{name}_sets")
 
     first = saved(leader_pairs(members, percent), "leader_pairs")
-    links = linked(first, "leader")
-    rest = block_pairs(members, components(links), percent).join(first, ["a", "b"], "left_anti")
-    more = linked(saved(rest, "block_pairs"), "block")
+    both = first.select(F.col("a").alias("key")).union(first.select("b"))
+    links = saved(verified(first, whole(both, "leader"), percent), "leader_links")
+    rest = saved(merged(block_pairs(members, components(links), percent)), "block_pairs")
+    nums = members_of_pairs(rest).select("num").distinct()
+    keys = saved(lanes.select("num", "key").join(nums, "num"), "block_keys")
+    full = whole(keys.select("key"), "block").dropDuplicates(["key"])  # some fall on the same bits
+    more = saved(bundle_links(rest, keys.join(full, "key"), percent), "block_links")
     labels = components(links.union(more)).withColumnRenamed("vertex", "key")
     named = classes.join(labels, "key", "left")
     named = saved(named.withColumn("label", F.coalesce("label", "key")), "labelled")
@@ -353,8 +470,12 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """
     kept = (
         jaccard_components(docs, id_col=id_col, text_col=text_col, **how)
-        .where(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .select(F.col(id_col).alias("_kept_id"))
+        .where(F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))
+        .select(F.struct(F.col(f"`{id_col}`").alias("id")).alias("kept"))
         .distinct()
     )
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi")
+    # The rows go through the join as one column, so no name of theirs meets one of this function's.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    own = F.struct(F.col("row").getField(id_col).alias("id"))
+    found = rows.join(kept, own == F.col("kept"), "left_semi")
+    return found.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
