@@ -38,6 +38,8 @@ HEADLINE = [
     "topic_users_star",
     "network_topic_users",
     "publish_topic_user",
+    "network_topics_requests",
+    "topic_users_any_window",
 ]
 RUNS = 3
 
