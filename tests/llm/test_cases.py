@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from topicloom.llm import ngram_lm, toxicity
+from topicloom.llm import ngram_lm, toxicity, windows
 from topicloom.llm.elias_fano import EliasFano, Trie
 from topicloom.llm.exact import drop_exact, exact_groups
 from topicloom.llm.jaccard import drop_near, jaccard_components
@@ -25,7 +25,7 @@ from topicloom.llm.mixing import mix, mixed
 from topicloom.llm.multiset import edited_fingerprints, fingerprints, minus, plus
 from topicloom.llm.packing import byte_bpe, packed
 from topicloom.llm.quotes import linked_conversations
-from topicloom.llm.windows import common_stretches, repeated_passages, window_centres
+from topicloom.llm.windows import common_stretches, exact_pairs, repeated_passages, window_centres, window_hashes
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -263,8 +263,10 @@ def test_passages_name_their_class(make_docs):
     assert sorted(map(sorted, of.values())) == sorted(map(sorted, [p, q, {(100, 0), (101, 0)}]))
 
 
-def test_passages_of_common_sentences(make_docs):
+@pytest.mark.parametrize("members", [512, 4])
+def test_passages_of_common_sentences(make_docs, monkeypatch, members):
     """Each signature is in many texts; only the whole of three sentences is in two."""
+    monkeypatch.setattr(windows, "MEMBERS", members)
     rows, wanted = [], set()
     for number in range(64):
         slots = number // 16, number // 4 % 4, number % 4
@@ -277,6 +279,56 @@ def test_passages_of_common_sentences(make_docs):
     assert {(r.doc_id, r.like_id, r.start, r.end) for r in found} == wanted
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 46])
+def test_window_hashes(size):
+    x = np.random.default_rng(5).integers(0, 2, 200).astype(np.uint32)
+    h = window_hashes(x, size).tolist()
+    plain = [tuple(x[k : k + size]) for k in range(200 - size + 1)]
+    assert len(h) == len(plain) and len(set(h)) == len(set(plain)) == len(set(zip(h, plain)))
+    assert not len(window_hashes(x[: size - 1], size))
+
+
+def test_large_groups_give_rows_in_proportion(spark):
+    """Texts that share 49 words and nothing else give no pairs; with 50 each has one with the shortest."""
+    rng = np.random.default_rng(6)
+    for shared, pairs in ((45, 0), (46, 199)):
+        common = rng.integers(0, 2**32, shared)
+        texts = [
+            np.concatenate([rng.integers(0, 2**32, 50 + i), common, rng.integers(0, 2**32, 60)])
+            for i in range(200)
+        ]
+        bodies = [(i, t.astype(np.uint32).tobytes()) for i, t in enumerate(texts)]
+        members = [(7, i, 50 + i + 20, i) for i in range(200)]
+        found = exact_pairs(
+            spark.createDataFrame(members, "key bigint, id bigint, place int, label bigint"),
+            spark.createDataFrame([(7,)], "key bigint"),
+            spark.createDataFrame([(i, bytes(b)) for i, b in bodies], "id bigint, x binary"), 50,
+        ).collect()
+        assert len(found) == pairs and all(r.a == 0 < r.b for r in found)
+
+
+@pytest.mark.parametrize("changed", [1, 2, 3])
+def test_recall_of_changed_passages(make_docs, changed):
+    """Passages of 100 words with some words changed anywhere, against the definition of a passage."""
+    rng = np.random.default_rng(changed)
+    rows, wanted = [], set()
+    for doc in range(0, 200, 2):
+        body = [f"{doc}.{k}" for k in range(100)]
+        other = list(body)
+        for k in rng.choice(100, changed, replace=False):
+            other[k] = f"x{doc}.{k}"
+        for d, part in ((doc, body), (doc + 1, other)):
+            own = [f"d{d}.{k}" for k in range(40)]
+            rows.append((d, " ".join(own + part + own[::-1]), "en", "s"))
+        x, y = (np.array([hash(tuple(w[k : k + 5])) for k in range(96)]) for w in (body, other))
+        if common_stretches(x, np.unique(y), 46) and common_stretches(y, np.unique(x), 46):
+            wanted.add(doc)
+    found = {(r.doc_id, r.like_id) for r in repeated_passages(make_docs(*rows)).collect()}
+    assert all(a ^ 1 == b for a, b in found)
+    hit = {a & ~1 for a, _ in found}
+    assert hit <= wanted and len(hit) >= 0.9 * len(wanted) > 40
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "a", "Hello all.\nShall we meet on Monday?\n\nBring the papers."),
