@@ -45,7 +45,7 @@ def skew_join(
     key: str,
     weight: Column | None = None,
     floor: int = HOT_FLOOR,
-    fan_out: bool = False,
+    fan_out: bool | int = False,
 ) -> DataFrame:
     """Inner equi-join that spreads the hot keys of the left side over many tasks.
 
@@ -54,7 +54,7 @@ def skew_join(
     repeated once per salt. Each left row meets each of its right rows exactly once. ``weight``
     is what a left row weighs, one by default. ``fan_out`` says that a left row
     meets many right rows: all shuffle partitions are then kept, where Spark would merge those
-    that are small before the join.
+    that are small before the join; a number is how many there are at least.
     """
     left = left.where(F.col(key).isNotNull())
     hot = hot_keys(left, [key], weight, floor)
@@ -62,7 +62,7 @@ def skew_join(
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     spread = left.join(hot, key, "left").withColumn("salt", F.pmod(row_hash, salts)).drop("salts")
     if fan_out:
-        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(fan_out, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         spread = spread.repartition(partitions, key, "salt")
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
     repeated = right.join(hot, key, "left").withColumn("salt", copies).drop("salts")

@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from topicloom.functions.nulls import all_present
 from topicloom.functions.text import hash32
 from topicloom.functions.vocabulary import TOPICS
-from topicloom.operators.lists import bounded_lists
-from topicloom.operators.skew import each_row, skew_join
+from topicloom.operators.lists import TASK_ROWS, bounded_lists
+from topicloom.operators.skew import HOT_FLOOR, each_row, skew_join
+from topicloom.session import saved
+
+# Rows of a relation that each task gets whole, some megabytes.
+SENT_ROWS = 100_000
 
 
 def drawn_topic(seed: Column) -> Column:
@@ -72,6 +76,30 @@ def user_topic_counts(
     return joined.groupBy("usr", "day", "topic").agg(n.alias("n"))
 
 
+def user_topic_counts_fanned(activity: DataFrame, repo_topics: DataFrame) -> DataFrame:
+    """``user_topic_counts`` where repositories have many topics, so that rows become many times as many.
+
+    Both sides are counted and written, so the number of rows that they make is known before they
+    meet, and each task makes about ``TASK_ROWS`` of them. Of a relation of at most ``SENT_ROWS`` rows
+    each task gets all: the activity is then dealt by user and day, and what comes of it is added up where it
+    is made, without being sent. No user and day makes more than those rows. A larger relation is met in
+    ``skew_join``.
+    """
+    topics = saved(repo_topics.groupBy("repo", "topic").agg(F.count(F.lit(1)).alias("rows")), "topic_rows")
+    counts = saved(user_repo_counts(activity), "activity_counts")
+    per_repo = topics.groupBy("repo").agg(F.count(F.lit(1)).alias("topics"))
+    uses = counts.groupBy("repo").agg(F.count(F.lit(1)).alias("uses"))
+    made = uses.join(per_repo, "repo").agg(F.sum(F.col("uses") * F.col("topics")), F.sum("uses")).first()
+    rows, met = made[0] or 0, made[1] or 0
+    tasks = max(1, -(-rows // TASK_ROWS))
+    if topics.count() <= SENT_ROWS:
+        joined = counts.repartition(tasks, "usr", "day").join(F.broadcast(topics), "repo")
+    else:
+        floor = max(1, HOT_FLOOR * met // max(1, rows))
+        joined = skew_join(counts, topics, "repo", floor=floor, fan_out=tasks)
+    return joined.groupBy("usr", "day", "topic").agg(F.sum(F.col("n") * F.col("rows")).alias("n"))
+
+
 def user_topic_day(counts: DataFrame, **limits) -> DataFrame:
     """(user, day) to the list of topics."""
     return bounded_lists(counts, ["usr", "day"], "topic", "topics", **limits)

@@ -103,7 +103,7 @@ def _star_counts(
 def _coded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _coded_events(spark, sf_dir)
     repo_topics = topics.repo_topic_coded(events)
-    return topics.user_topic_counts(clean.user_repo(events), repo_topics, count_first=True)
+    return topics.user_topic_counts_fanned(clean.user_repo(events), repo_topics)
 
 
 def _coded_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +167,7 @@ def network_topics_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     activity = clean.user_repo(events)
     edges = _coded_edges(spark, sf_dir)
     within = activity.where(in_window(F.col("day"), START, END))
-    counts = topics.user_topic_counts(within, topics.repo_topic_coded(events), count_first=True)
+    counts = topics.user_topic_counts_fanned(within, topics.repo_topic_coded(events))
     return serve.network_topics(counts, serve.user_follows(edges, USER), START, END)
 
 

@@ -61,10 +61,11 @@ def run_days(
         activity = publish(clean, "activity", "usr")
         rejects = lines.where("outcome != 'clean'").select("file", "outcome", "event_id", "created_at", "line")
         publish_latest(rejects, f"{out}/rejects", "file", run)
-        # A given repository may have many topics: its activity is then counted before the join.
+        # A given repository may have many topics: rows are then counted before they meet.
         given = repo_topics is not None
         repo_topics = repo_topics if given else topics.repo_topic(activity)
-        counts = topics.user_topic_counts(activity, repo_topics, count_first=given)
+        counted = topics.user_topic_counts_fanned if given else topics.user_topic_counts
+        counts = counted(activity, repo_topics)
         counts = publish(counts, "counts", "usr")
         publish(topics.user_topic_day(counts), "usertopic", "usr")
         publish(topics.topic_user_day(counts), "topicuser", "topic")
