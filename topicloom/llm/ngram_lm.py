@@ -46,7 +46,7 @@ from topicloom.llm.words import Words, mix, slices, words
 from topicloom.session import saved
 
 KNOWN = 1 << 18  # words with a number of their own, at most
-SHARDS = 64  # at least
+SHARDS = 32  # at least
 SHARD_TOKENS = 40_000_000  # training tokens per shard beyond that
 SLICE = 8 << 20  # bytes of text in a block
 BITS = np.uint64(20)  # of a number in a pair
@@ -131,7 +131,7 @@ class Vocabulary(NamedTuple):
 
 
 class Model(NamedTuple):
-    """``table``: shard, its rare words' hashes, counts and followers, its pairs' last terms, its trie."""
+    """``table``: shards of tries, and behind them of rare words with their counts, followers and pairs' last terms."""
 
     vocabulary: Vocabulary
     shards: int
@@ -424,7 +424,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
             values.append(np.log10(1 + (times - discount) / (discount * unpack(followed) * p)))
         names, values = np.concatenate(names), np.concatenate(values)
         order = np.argsort(names)
-        shard = (held if len(held) else asked)["shard"].iloc[0]
+        shard = shards + (held if len(held) else asked)["shard"].iloc[0]
         row = (shard, pack(keys, True), pack(counts), pack(followers), pack(names[order], True),
                pack(values[order].view(np.uint64)))
         return pd.DataFrame([row], columns=["shard", "keys", "counts", "followers", "pairs", "terms"])
@@ -453,7 +453,7 @@ def _asked(
     order = np.argsort(keys, kind="stable")
     keys, row = keys[order], row[order]
     out = []
-    for s, own in _by_shard(shard[order], shards):
+    for s, own in _by_shard(shard[order], 2 * shards):
         unique, times = np.unique(keys[own], return_counts=True)
         out.append((s, slice_, kind, pack(unique, True), pack(times), pack(row[own])))
     return out
@@ -494,9 +494,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     writer.write_batch(own)
                 rows = _asked(met.keys, met.doc, shard_of(met.keys, shards), shards, slice_, "pair")
                 if not listed.all():
+                    # The shards of rare words come behind those of the tries.
                     rare, doc = found.hash[~listed], found.doc[~listed]
-                    rows += _asked(rare, doc, shard_of(rare, shards), shards, slice_, "word")
-                    home = shard_of(np.where(met.w == RARE, met.w_name, met.v_name), shards)
+                    rows += _asked(rare, doc, shards + shard_of(rare, shards), shards, slice_, "word")
+                    home = shards + shard_of(np.where(met.w == RARE, met.w_name, met.v_name), shards)
                     keys = pair_keys(met.v_name, met.w_name)
                     rows += _asked(keys, met.rare_doc, home, shards, slice_, "rare")
                 rows.append((slice_ % shards, slice_, "own", None, None, sink.getvalue().to_pybytes()))
