@@ -69,6 +69,43 @@ def test_dense_group(make_docs, monkeypatch, changed, linked):
         assert rows["pairs"] > 4 * rows["packed"]
 
 
+def test_pairs_leave_few_cells(make_docs, monkeypatch):
+    """Texts alike but not linked share most of their prefixes, and yet a pair is not sent from every cell."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(200)]
+    texts = []
+    for _ in range(60):
+        w = list(base)
+        for k in rng.sample(range(200), 3):
+            w[k] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(w))
+    sent = []
+    plain = jaccard.block_pairs
+
+    def counted(members, labels, percent):
+        packed = plain(members, labels, percent)
+        for r in packed.collect():
+            for code in np.frombuffer(r.pairs, np.uint16).tolist():
+                sent.append((r.a, r.b, code))
+        return packed
+
+    monkeypatch.setattr(jaccard, "block_pairs", counted)
+    docs = make_docs(*((k, text, "en", "s") for k, text in enumerate(texts)))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs, 5, 80).collect()}
+    assert found == dict(enumerate(by_hand(texts, 5, 80)[0]))
+    assert len(set(sent)) > 100
+    assert len(sent) <= 2 * len(set(sent))
+
+
+def test_short_shingles_leave_out_no_link():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        a, b = (np.unique(rng.integers(0, 300, 200)).astype(np.uint64) << np.uint64(46) for _ in range(2))
+        short = [jaccard._told_apart((s >> np.uint64(48)).astype(np.uint16).tobytes()) for s in (a, b)]
+        assert [len(np.unique(s)) for s in short] == [len(a), len(b)]
+        assert overlaps([short[0]], [short[1]])[0, 0] >= len(np.intersect1d(a, b))
+
+
 def test_overlaps(monkeypatch):
     monkeypatch.setattr(jaccard, "COLUMNS", 7)
     rng = np.random.default_rng(2)

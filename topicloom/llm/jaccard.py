@@ -7,8 +7,10 @@ looked at when other links already join its two sides:
 
 1. every class is compared with one leader of each prefix shingle it shares; these links are joined;
 2. pairs that are still apart and share a prefix shingle pass the filters in blocks of at most two
-   times ``BLOCK`` members. What is left goes on as packed lists, one for each two ``BUNDLE`` of classes, in
-   which the sets of those classes meet once and every pair is verified there: only links leave. Classes are
+   times ``BLOCK`` members, at the first of the shingles they share as far as the ``BEFORE`` last ones tell. What
+   is left goes on as packed lists, one for each two ``BUNDLE`` of classes, in which the highest 16 bits of
+   those classes' shingles meet once: two sets share at most as many shingles as they share of these. The
+   pairs that may still link are few and are verified by whole shingles. Classes are
    numbered by their rarest shingle, so classes that are alike are in few bundles.
 
 The order of shingles is by how many documents have them, as counted over all documents in a table of
@@ -24,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -41,6 +43,8 @@ BUNDLE = 128  # classes whose sets are sent together, by their numbers
 FEW = 32  # pairs of two bundles that are compared one at a time
 COLUMNS = 1 << 14  # shingles of two bundles that are multiplied at once
 LANES = 128  # of a set's histogram, by the highest bits of its hashes
+BEFORE = 3  # shared shingles of a prefix before one, by which pairs are told that have met there
+HELD = 1 << 21  # pairs that a task holds to leave out those it has again
 
 
 def shingle_counters(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
@@ -112,10 +116,11 @@ def shingle_prefixes(
 
 
 def wanted_sets(
-    docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int
+    docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int, short: bool = False
 ) -> DataFrame:
     """``key`` and ``shingles`` of the sets in ``wanted`` (``key`` and ``rep``, the id of a document).
 
+    ``short`` asks for the highest 16 bits of each shingle only, which may repeat.
     What is wanted is sent to all tasks as a bitmap of fixed size, so that the texts stay where they
     are. A few other sets only fall on the same bits; they meet no pair in a join.
     """
@@ -141,7 +146,7 @@ def wanted_sets(
                     at = (key ^ hash_) % WANTED
                     if bitmap[at >> 3] >> (at & 7) & 1:
                         keys.append(key)
-                        sets.append(s.tobytes())
+                        sets.append((s >> np.uint64(48)).astype(np.uint16).tobytes() if short else s.tobytes())
                 columns = [pa.array(keys, pa.int64()), pa.array(sets, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "shingles"])
 
@@ -198,7 +203,8 @@ def leader_pairs(members: DataFrame, percent: int) -> DataFrame:
             ok = _may_link(n, m, p, q, lambda i, a=first: a[i], lambda i, b=second: b[i], percent)
             yield _pairs(_numbers(batch, "key")[ok], _numbers(batch, "key2")[ok])
 
-    both = members.join(leaders, "x").where(F.col("key") != F.col("key2"))
+    own = members.select("x", "key", "n", "pos", "lanes")
+    both = own.join(leaders, "x").where(F.col("key") != F.col("key2"))
     return both.drop("x").mapInArrow(keep, PAIR).distinct()
 
 
@@ -222,12 +228,31 @@ def _packed(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
     )
 
 
+def _once(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of class numbers, each once."""
+    x, y = np.minimum(x, y), np.maximum(x, y)
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    new = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]))[: len(x)]
+    return x[new], y[new]
+
+
+def with_before(members: DataFrame) -> DataFrame:
+    """``members`` with the ``BEFORE`` shared shingles before each in its class's prefix, 0 for none."""
+    order = Window.partitionBy("key").orderBy("pos")  # no more of a class than its prefix
+    lags = {f"before{k}": F.lag("x", k, 0).over(order) for k in range(1, BEFORE + 1)}
+    return members.withColumns(lags)
+
+
 def block_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs with different labels that share a prefix shingle, after the filters, in rows of ``PACKED``.
 
     The members of a shingle are dealt into blocks, and each two blocks meet in a cell of their own,
-    so that a group of any size is spread over many tasks and none holds more than two blocks.
+    so that a group of any size is spread over many tasks and none holds more than two blocks. Two
+    members that share one of the shingles just before as well are left to that shingle's cell, where
+    they pass the filters too if their sets are similar enough.
     """
+    earlier = [f"before{k}" for k in range(1, BEFORE + 1)]
     known = labels.select(F.col("vertex").alias("key"), "label")
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("key", "x"), blocks).cast("int")
@@ -238,13 +263,14 @@ def block_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFram
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
-        .select("x", "i", "j", "block", "num", "label", "n", "pos", "lanes")
+        .select("x", "i", "j", "block", "num", "label", "n", "pos", "lanes", *earlier)
         .repartition("x", "i", "j")
         .sortWithinPartitions("x", "i", "j")
     )
 
-    def compare(table: pa.Table) -> pa.RecordBatch:
+    def compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         rows = table.num_rows
+        before = [_numbers(table, c) for c in earlier]
         names = ("x", "i", "j", "block", "n", "pos", "num", "label")
         x, i, j, block, n, pos, keys, label = (_numbers(table, c) for c in names)
         lanes = _column(table, "lanes", LANES)
@@ -259,14 +285,24 @@ def block_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFram
             b = a + step
             apart = (label[a] != label[b]) & ((i[a] == j[a]) | (block[a] != block[b]))
             a, b = a[apart], b[apart]
+            met = np.zeros(len(a), bool)
+            for u in before:
+                for v in before:
+                    met |= (u[a] == v[b]) & (u[a] != 0)
+            a, b = a[~met], b[~met]
             ok = _may_link(n[a], n[b], pos[a], pos[b], lambda k, a=a: lanes[a[k]],
                            lambda k, b=b: lanes[b[k]], percent)
             left.append(keys[a[ok]])
             right.append(keys[b[ok]])
-        return _packed(np.concatenate(left), np.concatenate(right))
+        return np.concatenate(left), np.concatenate(right)
 
     def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
+        held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+
+        def sides() -> list[np.ndarray]:
+            return [np.concatenate(side) for side in zip(*held, strict=True)]
+
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if rest is None else pa.concat_tables([rest, table])
@@ -278,10 +314,16 @@ def block_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFram
                 same &= table.column(c).to_numpy() == v
             cut = int(np.argmax(same))  # the last cell may go on in the next batch
             if cut:
-                yield compare(table.slice(0, cut).combine_chunks())
+                held.append(compare(table.slice(0, cut).combine_chunks()))
+                if sum(len(x) for x, _ in held) > HELD:
+                    held = [_once(*sides())]
+                    if len(held[0][0]) > HELD // 2:
+                        yield _packed(*held[0])
+                        held = [(held[0][0][:0], held[0][1][:0])]
             rest = table.slice(cut)
         if rest is not None:
-            yield compare(rest.combine_chunks())
+            held.append(compare(rest.combine_chunks()))
+        yield _packed(*sides())
 
     return cells.mapInArrow(cells_of, PACKED)
 
@@ -341,17 +383,25 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def bundle_links(packed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs of ``packed`` whose sets are similar enough, as keys; ``sets`` are ``num, key, shingles``.
+def _told_apart(short: bytes) -> np.ndarray:
+    """A sorted multiset of 16-bit numbers as a set: each with how often it came before."""
+    x = np.frombuffer(short, np.uint16)
+    again = np.arange(len(x)) - np.searchsorted(x, x)
+    return x.astype(np.uint64) << np.uint64(32) | again.astype(np.uint64)
+
+
+def bundle_pairs(packed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs of ``packed`` that may link by their short shingles, as keys; ``sets`` are ``num, key, shingles``.
 
     Of two bundles only the sets come together that are in a pair, each once, however many pairs it is in.
+    Sets share at most as many shingles as they have equal short ones, so no link is left out.
     """
     sent = members_of_pairs(packed).join(sets, "num")
 
     def check(pairs, members):
         held = {n: k for k, n in enumerate(members["num"])}
         keys = members["key"].to_numpy(np.int64)
-        own = [np.frombuffer(s, np.uint64) for s in members["shingles"]]
+        own = [_told_apart(s) for s in members["shingles"]]
         size = np.array([len(s) for s in own])
         code = np.unique(np.concatenate([np.frombuffer(p, np.uint16) for p in pairs["pairs"]]))
         code = code.astype(np.int64)
@@ -427,23 +477,26 @@ def jaccard_components(
         .drop("first")
         .join(lanes, "key")
     )
-    members = saved(members, "members_lanes")
+    members = saved(with_before(members), "members_lanes")
     classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("rep"))
     classes = saved(classes, "classes")
 
-    def whole(keys: DataFrame, name: str) -> DataFrame:
+    def whole(keys: DataFrame, name: str, short: bool = False) -> DataFrame:
         """The sets of the classes in a relation ``key``."""
         wanted = saved(classes.join(keys.distinct(), "key"), f"{name}_wanted")
-        return saved(wanted_sets(docs, wanted, id_col, text_col, size), f"{name}_sets")
+        return saved(wanted_sets(docs, wanted, id_col, text_col, size, short), f"{name}_sets")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        both = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
+        return saved(verified(pairs, whole(both, name), percent), f"{name}_links")
 
-    first = saved(leader_pairs(members, percent), "leader_pairs")
-    both = first.select(F.col("a").alias("key")).union(first.select("b"))
-    links = saved(verified(first, whole(both, "leader"), percent), "leader_links")
+    links = linked(saved(leader_pairs(members, percent), "leader_pairs"), "leader")
     rest = saved(merged(block_pairs(members, components(links), percent)), "block_pairs")
     nums = members_of_pairs(rest).select("num").distinct()
     keys = saved(lanes.select("num", "key").join(nums, "num"), "block_keys")
-    full = whole(keys.select("key"), "block").dropDuplicates(["key"])  # some fall on the same bits
-    more = saved(bundle_links(rest, keys.join(full, "key"), percent), "block_links")
+    short = whole(keys.select("key"), "block", short=True).dropDuplicates(["key"])  # some fall on the same bits
+    near = saved(bundle_pairs(rest, keys.join(short, "key"), percent), "near_pairs")
+    more = linked(near, "near")
     labels = components(links.union(more)).withColumnRenamed("vertex", "key")
     named = classes.join(labels, "key", "left")
     named = saved(named.withColumn("label", F.coalesce("label", "key")), "labelled")
