@@ -3,6 +3,7 @@
 import pytest
 
 from topicloom.plans.catalog import catalog
+from topicloom.session import saved
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = catalog()
@@ -36,3 +37,8 @@ def test_same_rows(spark, usual, settings):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_scratch_files_use_zstandard(spark):
+    files = saved(spark.range(10), "numbers").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)

@@ -228,7 +228,8 @@ def edited_fingerprints(
         F.max("sha").alias("sha"),
     )
     # Both lie by row, as the texts did, so the fingerprints are moved once more only, to meet their next.
-    pairs = pairs.join(order, "row").withColumn("near", likeness(F.col("fp"), F.col("fp_edited")))
+    pairs = pairs.withColumn("sha", F.unhex("sha")).join(order.drop("half"), "row")
+    pairs = pairs.withColumn("near", likeness(F.col("fp"), F.col("fp_edited")))
     pairs = saved(pairs, "fingerprints")
     others = pairs.select(F.col("row").alias("next_row"), F.col("fp").alias("fp_next"))
     return (
@@ -238,7 +239,7 @@ def edited_fingerprints(
         .select(
             F.col("_id").alias(id_col),
             F.col("n").cast("bigint").alias("n_chars"),
-            F.col("sha").alias("edited_sha256"),
+            F.lower(F.hex("sha")).alias("edited_sha256"),
             shown(F.col("fp")).alias("fingerprint"),
             shown(F.col("fp_edited")).alias("edited_fingerprint"),
             F.col("near").alias("near_edited"),
