@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from topicloom.llm import multiset
 from topicloom.llm.multiset import edited_fingerprints, fingerprints, likeness, minus, plus
 
 
@@ -68,3 +69,16 @@ def test_likeness_of_documents(spark):
         off.append(found[doc].near_next - by_hand(text, after))
     assert sum(map(abs, off)) / len(off) < 0.05
     assert sum(abs(x) > 0.2 for x in off) < 0.02 * len(off)
+
+
+def test_fingerprints_are_moved_in_one_exchange(make_docs, monkeypatch):
+    """A text's fingerprint goes to its row and the one before it; an edited one is not moved, none is written down."""
+    written, real = [], multiset.saved
+    monkeypatch.setattr(multiset, "saved", lambda df, name: written.append(df.columns) or real(df, name))
+    found = edited_fingerprints(make_docs((1, "One. Two.\nThree.", "en", "s"), (2, "One. Two.", "en", "s")))
+    assert not [c for c in written if any(name.startswith("fp") for name in c)]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    below = [plan[k + 1] for k, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    assert sum("max" in line for line in below) == 1
+    assert not [line for line in below if "fp_edited" in line]
+    assert found.schema["near_next"].dataType.typeName() == "double"

@@ -194,7 +194,7 @@ def edited_fingerprints(
     A null text is empty; null ids come last; rows with one id are ordered by a hash of id and text.
     Rows alike in both count as one document and each gets its result. A document alone is its own
     next one. An empty table gives no rows. Each text is shuffled once, and the piece that another
-    document takes of it once more.
+    document takes of it once more; its fingerprint is shuffled twice.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.unhex(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.md5(text))))
@@ -214,35 +214,32 @@ def edited_fingerprints(
     both = texts.join(order, "row").join(pieces, "row", "left")
     kept = F.left("_text", (F.col("n") - F.col("half")).cast("int"))
     both = both.withColumn("_edited", F.concat(kept, F.coalesce("_piece", F.lit(""))))
-    versions = F.array(
-        F.struct(F.lit(0).alias("edited"), F.col("_text").alias("t"), F.lit("").alias("sha")),
-        F.struct(
-            F.lit(1).alias("edited"), F.col("_edited").alias("t"), F.sha2("_edited", 256).alias("sha")
-        ),
+    edited = both.select("row", "_edited", F.sha2("_edited", 256).alias("sha"))
+    made = fingerprints(edited, ["row", "sha"], "_edited", "fp_edited")
+    # Texts and edited texts lie by row. Each text's fingerprint is made once and sent to its own row and to the
+    # one it is next to, in one exchange; the edited text's stays where it is made, and none is written down.
+    own = fingerprints(texts, ["row"], "_text", "fp")
+    follows = order.select(F.col("row").alias("by"), "next_row")
+    ways = F.array(
+        F.struct(F.col("row").alias("to"), F.lit(False).alias("next")),
+        F.struct(F.col("by").alias("to"), F.lit(True).alias("next")),
     )
-    each = both.select("row", F.explode(versions).alias("v")).select("row", "v.*")
-    made = fingerprints(each, ["row", "edited", "sha"], "t", "fp")
-    pairs = made.groupBy("row").agg(
-        F.max(F.when(F.col("edited") == 0, F.col("fp"))).alias("fp"),
-        F.max(F.when(F.col("edited") == 1, F.col("fp"))).alias("fp_edited"),
-        F.max("sha").alias("sha"),
+    sent = own.join(follows, F.col("row") == F.col("next_row")).select("fp", F.explode(ways).alias("_way"))
+    held = sent.groupBy(F.col("_way.to").alias("row")).agg(
+        F.max(F.when(~F.col("_way.next"), F.col("fp"))).alias("fp"),
+        F.max(F.when(F.col("_way.next"), F.col("fp"))).alias("fp_next"),
     )
-    # Both lie by row, as the texts did, so the fingerprints are moved once more only, to meet their next.
-    pairs = pairs.withColumn("sha", F.unhex("sha")).join(order.drop("half"), "row")
-    pairs = pairs.withColumn("near", likeness(F.col("fp"), F.col("fp_edited")))
-    pairs = saved(pairs, "fingerprints")
-    others = pairs.select(F.col("row").alias("next_row"), F.col("fp").alias("fp_next"))
     return (
-        pairs.drop("row")
-        .join(others, "next_row")
+        made.join(held, "row")
+        .join(order.select("row", "_id", "n", "rows"), "row")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
         .select(
             F.col("_id").alias(id_col),
             F.col("n").cast("bigint").alias("n_chars"),
-            F.lower(F.hex("sha")).alias("edited_sha256"),
+            F.col("sha").alias("edited_sha256"),
             shown(F.col("fp")).alias("fingerprint"),
             shown(F.col("fp_edited")).alias("edited_fingerprint"),
-            F.col("near").alias("near_edited"),
+            likeness(F.col("fp"), F.col("fp_edited")).alias("near_edited"),
             likeness(F.col("fp"), F.col("fp_next")).alias("near_next"),
         )
     )
