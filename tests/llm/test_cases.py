@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from functools import partial
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -26,6 +27,7 @@ from topicloom.llm.multiset import edited_fingerprints, fingerprints, minus, plu
 from topicloom.llm.packing import byte_bpe, packed
 from topicloom.llm.quotes import linked_conversations
 from topicloom.llm.windows import common_stretches, exact_pairs, repeated_passages, window_centres, window_hashes
+from topicloom.session import scratch_scope
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -244,6 +246,16 @@ def test_passages_with_one_word_changed(make_docs):
     assert found == {(a, b, 60, 140) for a, b in pairs} | {(b, a, 60, 140) for a, b in pairs}
 
 
+def test_signatures_are_removed_once_met(spark, make_docs):
+    body = " ".join(f"w{k}" for k in range(60))
+    docs = make_docs((1, "a " + body, "en", "s"), (2, "b " + body, "en", "s"))
+    with scratch_scope(spark) as folder:
+        found = repeated_passages(docs)
+        assert list(Path(folder).glob("*/passage_met"))
+        assert not list(Path(folder).parent.rglob("passage_texts"))
+        assert found.count() == 2
+
+
 def test_passages_name_their_class(make_docs):
     shared = {p: " ".join(f"{p}.{k}" for k in range(60)) for p in "pq"}
     rows = []

@@ -42,3 +42,17 @@ def test_same_rows(spark, usual, settings):
 def test_scratch_files_use_zstandard(spark):
     files = saved(spark.range(10), "numbers").inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_scratch_files_leave_no_shuffle_behind(spark):
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for f in held.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+    old = files()
+    counts = saved(spark.range(100_000).selectExpr("id % 1000 AS k").groupBy("k").count(), "counts")
+    assert not files() - old
+    assert counts.count() == 1000 and spark.conf.get(cleanup) == before

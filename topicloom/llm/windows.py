@@ -22,6 +22,7 @@ with all that share a sentence.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ from topicloom.llm.blocks import pack, unpack
 from topicloom.llm.components import components
 from topicloom.llm.words import Words, distinct, mix, shingles, slices, words
 from topicloom.operators.skew import skew_join
-from topicloom.session import saved
+from topicloom.session import saved, saved_at, scratch_path, scratch_scope
 
 SHINGLE = 5
 LEAST = 50  # words of a passage
@@ -47,6 +48,7 @@ AROUND = 4  # shingles before and behind that are part of a signature
 BLOCK = 1 << 19  # tokens whose minima are sought at once
 MEMBERS = 512  # of a group whose members are compared one by one
 COLUMNS = 1024  # shingles of a cell that are compared at once
+ROUNDS = 2  # in which pairs are verified, so that the texts of half of them are on disk at once
 _PLACE = np.uint64((1 << 20) - 1)
 
 
@@ -204,7 +206,7 @@ def remaining_pairs(members: DataFrame, places: DataFrame, texts: DataFrame, lea
         .groupBy("key", "id", "place")
         .agg(F.coalesce(F.min("passage"), F.xxhash64("id")).alias("label"))
     )
-    labelled = saved(labelled, "passage_members")
+    labelled = saved(labelled, "passage_labels")
     groups = labelled.groupBy("key").agg(
         F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("count")
     )
@@ -438,21 +440,28 @@ def repeated_passages(
 
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     shards = max(SHARDS, -(-size // SHARD_BYTES))
-    found = saved(texts_and_blocks(named, shards, least), "passage_texts")
-    members = found.where("key IS NOT NULL").select("_id", "key", "id", "n")
+    spark = docs.sparkSession
+    members_at, met_at = (scratch_path(spark, name) for name in ("passage_members", "passage_met"))
+    with scratch_scope(spark):  # signatures are removed once they have met
+        found = saved(texts_and_blocks(named, shards, least), "passage_texts")
+        members = saved_at(found.where("key IS NOT NULL").select("_id", "key", "id", "n"), members_at)
+        met = saved_at(candidate_pairs(found), met_at)
     classes = saved(
         members.groupBy("key", "id", "n").agg(
             F.min("_id").alias("rep"), F.max("_id").alias("last"), F.count("*").alias("copies")
         ),
         "passage_classes",
     )
-    met = saved(candidate_pairs(found), "passage_met")
     pairs = saved(met.where("place < 0").select("a", "b").distinct(), "passage_pairs")
     involved = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     reps = classes.join(involved, "id").select("rep", "id")
     texts = named.join(reps, F.col("_id").eqNullSafe(F.col("rep"))).select("id", "text")
     bodies = saved(texts.mapInArrow(sequences, "id bigint, x binary"), "passage_bodies")
-    spans = saved(verified_spans(pairs, bodies, least), "passage_spans")
+    turn = F.pmod(F.xxhash64("a", "b"), F.lit(ROUNDS))
+    parts = [
+        saved(verified_spans(pairs.where(turn == k), bodies, least), "passage_spans") for k in range(ROUNDS)
+    ]
+    spans = reduce(DataFrame.union, parts)
     groups = met.where("place >= 0").select(F.col("a").alias("id"), F.col("b").alias("key"), "place")
     rest = remaining_pairs(groups, passage_places(spans, least), bodies, least)
     rest = saved(rest.join(pairs, ["a", "b"], "left_anti"), "passage_rest")
