@@ -82,7 +82,7 @@ def saved_at(df: DataFrame, path: str) -> DataFrame:
     Spark's default does.
     """
     conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP)
+    before = conf.get(_CLEANUP, "false")
     conf.set(_CLEANUP, "true")
     try:
         df.write.option("compression", "zstd").parquet(path)
