@@ -26,7 +26,14 @@ from topicloom.llm.mixing import mix, mixed
 from topicloom.llm.multiset import edited_fingerprints, fingerprints, minus, plus
 from topicloom.llm.packing import byte_bpe, packed
 from topicloom.llm.quotes import linked_conversations
-from topicloom.llm.windows import common_stretches, exact_pairs, repeated_passages, window_centres, window_hashes
+from topicloom.llm.windows import (
+    common_stretches,
+    exact_pairs,
+    rare_values,
+    repeated_passages,
+    window_centres,
+    window_hashes,
+)
 from topicloom.session import scratch_scope
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -291,6 +298,37 @@ def test_passages_of_common_sentences(make_docs, monkeypatch, members):
     assert {(r.doc_id, r.like_id, r.start, r.end) for r in found} == wanted
 
 
+@pytest.mark.parametrize(
+    "limits", [{}, {"MEMBERS": 4}, {"MEMBERS": 4, "APART": 0}, {"MEMBERS": 4, "APART": 0, "FEW": 1}]
+)
+def test_changed_passages_of_common_sentences(make_docs, monkeypatch, limits):
+    """A changed word leaves no 50 words alike; the size of a group, and the way it goes, decide nothing."""
+    for name, value in limits.items():
+        monkeypatch.setattr(windows, name, value)
+    rows, wanted = [], set()
+    for number in range(64):
+        slots = number // 16, number // 4 % 4, number % 4
+        body = [f"s{slot}.{which}.{k}" for slot, which in enumerate(slots) for k in range(24)]
+        for doc in (number, number + 64):
+            own = [" ".join(f"d{doc}.{part}.{k}" for k in range(30)) for part in range(2)]
+            changed = body if doc < 64 else [*body[:36], f"x{number}", *body[37:]]
+            rows.append((doc, " ".join([own[0], *changed, own[1]]), "en", "s"))
+            wanted.add((doc, (doc + 64) % 128, 30, 102))
+    found = repeated_passages(make_docs(*rows)).collect()
+    assert {(r.doc_id, r.like_id, r.start, r.end) for r in found} == wanted
+
+
+def test_rare_values_meet():
+    """Texts that share 41 places on either side have a rare value in common, whatever is held common."""
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        x, y = (rng.integers(0, rng.integers(40, 400), 100).astype(np.uint32) for _ in range(2))
+        common = rng.permutation(100).astype(np.uint32)[: rng.integers(0, 100)]
+        if min(np.isin(x, y).sum(), np.isin(y, x).sum()) >= 41:
+            assert len(np.intersect1d(rare_values(x, common, 41), rare_values(y, common, 41)))
+    assert not len(rare_values(x[:40], common, 41))
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 46])
 def test_window_hashes(size):
     x = np.random.default_rng(5).integers(0, 2, 200).astype(np.uint32)

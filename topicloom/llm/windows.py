@@ -13,10 +13,9 @@ Windows of equal signature are brought together in shards by a hash of the signa
 text is paired with the group's first text and with the one before it (by a hash of the whole text), so a
 passage in very many texts gives two pairs a text and not all pairs. A pair found under any signature
 is verified once: the stretches of one text are sought whose shingles are nearly all in the other. Groups in
-which verified links do not join all texts at the signature's place are looked at again. In a group of at
-most ``MEMBERS`` all are compared by the shingles around those places. In a larger one each
-text is paired with the shortest that has the same ``LEAST`` words there: with the exact passage, that is, and not
-with all that share a sentence.
+which verified links do not join all texts at the signature's place are looked at again: every two members that
+are not joined are compared by the shingles around those places. In a group of more than ``MEMBERS`` members meet by
+rare shingles or in cells, which leads to the same pairs.
 """
 
 from __future__ import annotations
@@ -46,7 +45,11 @@ SHARD_BYTES = 256 << 20  # of text per shard beyond that
 SLICE = 8 << 20
 AROUND = 4  # shingles before and behind that are part of a signature
 BLOCK = 1 << 19  # tokens whose minima are sought at once
-MEMBERS = 512  # of a group whose members are compared one by one
+MEMBERS = 512  # that are compared in one cell
+SOME = 256  # members of a large group, about, from which its common shingles are learned
+APART = 64  # share of a large group's pairs, its inverse, that may meet by rare values
+FEW = 32  # members with a rare value that are paired at once; more are compared in cells
+SHARD_MEMBERS = 1 << 14  # of large groups
 COLUMNS = 1024  # shingles of a cell that are compared at once
 ROUNDS = 2  # in which pairs are verified, so that the texts of half of them are on disk at once
 _PLACE = np.uint64((1 << 20) - 1)
@@ -196,8 +199,8 @@ def candidate_pairs(blocks: DataFrame) -> DataFrame:
 def remaining_pairs(members: DataFrame, places: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """Pairs of a signature's members (``id``, ``key``, ``place``) that no verified links join there.
 
-    Small groups are compared member by member, see ``near_pairs``, large ones by exact windows, see
-    ``exact_pairs``: work and rows grow with the members of a group and not with their square.
+    The rule is that of ``near_pairs`` whatever the size of a group. A group of more than ``MEMBERS`` texts is
+    cut for it, see ``cut_pairs``: that bounds a task and decides nothing.
     """
     known = places.groupBy("id", "low", "passage").agg(F.max("end").alias("high"))
     inside = (F.col("place") >= F.col("low")) & (F.col("place") + SHINGLE <= F.col("high"))
@@ -205,41 +208,76 @@ def remaining_pairs(members: DataFrame, places: DataFrame, texts: DataFrame, lea
         members.join(known.withColumnRenamed("id", "of"), (F.col("id") == F.col("of")) & inside, "left")
         .groupBy("key", "id", "place")
         .agg(F.coalesce(F.min("passage"), F.xxhash64("id")).alias("label"))
-    )
+        .groupBy("key", "id")
+        .agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.collect_list("place").alias("places")
+        )
+    )
     labelled = saved(labelled, "passage_labels")
     groups = labelled.groupBy("key").agg(
-        F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("count")
+        F.min("lo").alias("least"), F.max("hi").alias("most"), F.count("*").alias("count")
     )
-    apart = saved(groups.where("least != most").select("key", "count"), "passage_apart")
-    small = apart.where(F.col("count") <= MEMBERS).select("key")
-    large = apart.where(F.col("count") > MEMBERS).select("key")
-    near = near_pairs(labelled, small, texts, least)
-    return near.union(exact_pairs(labelled, large, texts, least)).distinct()
+    apart = saved(groups.where("least != most and count > 1").select("key", "count"), "passage_apart")
+    small = surroundings(labelled, apart.where(F.col("count") <= MEMBERS), texts, least)
+    large = surroundings(labelled, apart.where(F.col("count") > MEMBERS), texts, least)
+    size = apart.where(F.col("count") <= MEMBERS).agg(F.sum("count")).first()[0] or 0
+    shards = max(SHARDS, -(-size // SHARD_MEMBERS))
+    small = small.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+    near = near_pairs(small, ["shard"], least)
+    return near.union(cut_pairs(saved(large, "passage_large"), least)).distinct()
 
 
-def near_pairs(labelled: DataFrame, small: DataFrame, texts: DataFrame, least: int) -> DataFrame:
-    """Pairs of members of ``small`` groups that have enough shingles around the signature in common.
+NEAR = "key bigint, id bigint, lo bigint, hi bigint, count bigint, near binary"
 
-    A passage can be cut into passages of less than twice ``least``, so only the shingles that near to the
-    signature count: of them each side needs eight ninths of the least passage on the other.
+
+def surroundings(labelled: DataFrame, groups: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """The members of some groups with ``near``, the shingles around a signature's places in the text.
+
+    A passage can be cut into passages of less than twice ``least``, so only the shingles that near to a
+    place count.
     """
-    tokens = least - SHINGLE + 1
-    need, reach = -(-8 * tokens // 9), 2 * tokens - 2
+    reach = 2 * (least - SHINGLE + 1) - 2
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def around(x: np.ndarray, places: list[int]) -> bytes:
+        if len(places) == 1:
+            return x[max(0, places[0] - reach) : places[0] + reach + 1].tobytes()
+        place = np.array(places)
+        edge = np.zeros(len(x) + 1, np.int64)
+        np.add.at(edge, np.maximum(place - reach, 0), 1)
+        np.add.at(edge, np.minimum(place + reach + 1, len(x)), -1)
+        return x[np.cumsum(edge)[:-1] > 0].tobytes()
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            around = []
-            for row, place in enumerate(batch.column("place").to_pylist()):
-                x = np.frombuffer(batch.column("x")[row].as_buffer(), np.uint32)
-                around.append(x[max(0, place - reach) : place + reach + 1].tobytes())
-            columns = [batch.column(c) for c in ("key", "id", "label")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(around, pa.binary())], ["key", "id", "label", "near"]
-            )
+            for at in range(0, batch.num_rows, FEW):
+                part = batch.slice(at, FEW)
+                own = part.column("own").flatten()
+                row = np.repeat(np.arange(part.num_rows), part.column("own").value_lengths())
+                texts = [np.frombuffer(x.as_buffer(), np.uint32) for x in part.column("x")]
+                near = [around(texts[r], p) for r, p in zip(row, own.field("places").to_pylist(), strict=True)]
+                key, lo, hi, count = (own.field(c) for c in ("key", "lo", "hi", "count"))
+                ids = part.column("id").take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [key, ids, lo, hi, count, pa.array(near, pa.binary())], names
+                )
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = len(pdf)
-        parts = [np.frombuffer(c, np.uint32) for c in pdf["near"]]
+    names = [c.split()[0] for c in NEAR.split(", ")]
+    own = labelled.join(groups, "key").groupBy("id")
+    own = own.agg(F.collect_list(F.struct("key", "lo", "hi", "count", "places")).alias("own"))
+    return own.join(texts, "id").mapInArrow(emit, NEAR)
+
+
+def needed(least: int) -> int:
+    """Shingles around a signature that each side needs on the other: eight ninths of the least passage."""
+    return -(-8 * (least - SHINGLE + 1) // 9)
+
+
+def near_pairs(members: DataFrame, cell: list[str], least: int) -> DataFrame:
+    """Pairs of one group's members in a cell that have enough shingles around the signature in common."""
+    need = needed(least)
+
+    def compare(parts: list[np.ndarray], ids: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        n = len(parts)
         row = np.repeat(np.arange(n), [len(c) for c in parts])
         values, at = np.unique(np.concatenate(parts), return_inverse=True)
         texts_with = np.bincount(np.unique(at * n + row) // n, minlength=len(values))
@@ -252,16 +290,143 @@ def near_pairs(labelled: DataFrame, small: DataFrame, texts: DataFrame, least: i
             times = times.reshape(n, COLUMNS).astype(np.float32)
             share += times @ (times > 0).astype(np.float32).T
         p, q = np.nonzero(np.triu(np.minimum(share, share.T) >= need, 1))
-        ids, label = (pdf[c].to_numpy() for c in ("id", "label"))
-        apart = (label[p] != label[q]) & (ids[p] != ids[q])
-        ids = ids.astype(np.int64).view(np.uint64)
-        pairs = np.sort(np.stack([ids[p[apart]], ids[q[apart]]], 1), axis=1)  # as in candidate_pairs
+        apart = (np.minimum(lo[p], lo[q]) != np.maximum(hi[p], hi[q])) & (ids[p] != ids[q])
+        return np.stack([ids[p[apart]], ids[q[apart]]], 1)
+
+    def all_groups(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("key")
+        key, ids, lo, hi = (pdf[c].to_numpy().astype(np.int64) for c in ("key", "id", "lo", "hi"))
+        parts = [np.frombuffer(c, np.uint32) for c in pdf["near"]]
+        cut = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+        found = [compare(parts[a:b], ids[a:b], lo[a:b], hi[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        pairs = np.sort(np.concatenate(found).view(np.uint64), axis=1)  # as in candidate_pairs
         pairs = np.unique(pairs, axis=0).view(np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    labelled = labelled.join(small, "key").join(texts, "id")
-    wanted = labelled.mapInArrow(near, "key bigint, id bigint, label bigint, near binary")
-    return wanted.groupBy("key").applyInPandas(compare, "a bigint, b bigint").distinct()
+    return members.groupBy(*cell).applyInPandas(all_groups, "a bigint, b bigint").distinct()
+
+
+def rare_values(near: np.ndarray, common: np.ndarray, need: int) -> np.ndarray:
+    """The distinct values of all but the last ``need`` - 1 places in the order of ``common``.
+
+    Others come first. Of two texts with ``need`` places each whose values the other has, the first of those
+    values in that order is among these values of both.
+    """
+    order = np.argsort(common, kind="stable")
+    rising = common[order]
+    known = is_among(near, rising)
+    rank = np.zeros(len(near), np.int64)
+    rank[known] = order[np.searchsorted(rising, near[known])] + 1
+    return np.unique(near[np.lexsort((near, rank))][: max(0, len(near) - need + 1)])
+
+
+def cut_pairs(large: DataFrame, least: int) -> DataFrame:
+    """The pairs of ``near_pairs`` for groups of any size, without a task that takes a whole group.
+
+    The most common shingles of a group are learned from some of its members. Where others tell the members
+    apart, only those meet that share one of their rare values, see ``rare_values``. Elsewhere members meet in
+    cells of two blocks. What is learned decides only between ways to the same pairs.
+    """
+    need = needed(least)
+
+    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [np.frombuffer(c, np.uint32) for c in pdf["near"]]
+        values, times = np.unique(np.concatenate([np.unique(c) for c in parts]), return_counts=True)
+        common = values[times > 1][np.argsort(times[times > 1], kind="stable")]
+        _, met = np.unique(np.concatenate([rare_values(c, common, need) for c in parts]), return_counts=True)
+        rare = bool((met[met > 1] ** 2).sum() * APART <= len(parts) ** 2)
+        return pd.DataFrame({"key": pdf["key"][:1], "common": [common.tobytes()], "rare": [rare]})
+
+    some = F.pmod(F.xxhash64("id"), F.ceil(F.col("count") / SOME)) == 0
+    learned = large.where(some).groupBy("key").applyInPandas(learn, "key bigint, common binary, rare boolean")
+    learned = saved(learned, "passage_common")
+    shards = max(SHARDS, -(-large.count() // SHARD_MEMBERS))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near, common = (
+                [np.frombuffer(c.as_buffer(), np.uint32) for c in batch.column(name)]
+                for name in ("near", "common")
+            )
+            found = [rare_values(x, c, need) for x, c in zip(near, common, strict=True)]
+            row = np.repeat(np.arange(len(found)), [len(c) for c in found])
+            if not len(row):
+                continue
+            key, ids = (batch.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("key", "id"))
+            value = mix(key[row] ^ mix(np.concatenate(found).astype(np.uint64) + np.uint64(1)))
+            shard = (value % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            value, row, shard = value[order], row[order], shard[order]
+            cut = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard))
+            made = []
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                used, at = np.unique(row[a:b], return_inverse=True)
+                columns = value[a:b], at.astype(np.uint32), key[used], ids[used]
+                made.append((int(shard[a]), *(c.tobytes() for c in columns)))
+            kinds = [pa.int32(), *[pa.binary()] * 4]
+            columns = [pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "values", "rows", "keys", "ids"])
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        value = np.concatenate([np.frombuffer(c, np.uint64) for c in pdf["values"]])
+        rows = [np.frombuffer(c, np.uint32) for c in pdf["rows"]]
+        key, ids = (
+            np.concatenate([np.frombuffer(c, np.uint64)[r] for c, r in zip(pdf[name], rows, strict=True)])
+            for name in ("keys", "ids")
+        )
+        order = np.lexsort((ids, value))
+        value, key, ids = value[order], key[order], ids[order]
+        size = np.diff(np.append(np.flatnonzero(np.append(True, value[1:] != value[:-1])), len(value)))
+        size = np.repeat(size, size)
+        crowd = size > FEW
+        value, key, ids, size = (
+            np.concatenate([c[~crowd], c[crowd]]) for c in (value, key, ids, size)
+        )
+        few = int((~crowd).sum())
+        pairs = [np.zeros((0, 3), np.uint64)]
+        for step in range(1, FEW):
+            first = np.flatnonzero(value[: max(0, few - step)] == value[step : max(few, step)])
+            pairs.append(np.stack([key[first], ids[first], ids[first + step]], 1))
+        pairs = np.unique(np.concatenate(pairs), axis=0).view(np.int64)
+        none = np.zeros(len(pairs), np.int64)
+        met = pd.DataFrame({"key": pairs[:, 0], "a": pairs[:, 1], "b": pairs[:, 2], "value": none, "size": none})
+        value, key, ids = (c[few:].view(np.int64) for c in (value, key, ids))
+        crowd = pd.DataFrame({"key": key, "a": ids, "b": ids, "value": value, "size": size[few:]})
+        return pd.concat([met, crowd])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            enough = np.zeros(batch.num_rows, bool)
+            for row in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[row].as_buffer(), np.uint32) for c in ("x", "y"))
+                enough[row] = is_among(x, distinct(y)).sum() >= need <= is_among(y, distinct(x)).sum()
+            yield batch.select(["a", "b"]).filter(pa.array(enough))
+
+    apart = large.join(learned.where("rare"), "key").mapInArrow(
+        emit, "shard int, values binary, rows binary, keys binary, ids binary"
+    )
+    met = apart.groupBy("shard").applyInPandas(meet, "key bigint, a bigint, b bigint, value bigint, size bigint")
+    met = saved(met, "passage_cut")
+    left = large.select("key", F.col("id").alias("a"), "lo", "hi", F.col("near").alias("x"))
+    right = large.select(
+        "key", F.col("id").alias("b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"),
+        F.col("near").alias("y"),
+    )
+    pairs = met.where("size = 0").select("key", "a", "b").distinct().join(left, ["key", "a"])
+    pairs = pairs.join(right, ["key", "b"]).where("least(lo, lo_b) != greatest(hi, hi_b)")
+    pairs = pairs.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
+    crowds = met.where("size > 0").select("key", F.col("a").alias("id"), "value", "size")
+    whole = large.join(learned.where("rare"), "key", "left_anti")
+    whole = whole.select("key", "id", F.lit(0).cast("long").alias("value"), F.col("count").alias("size"))
+    blocks = F.ceil(2 * F.col("size") / MEMBERS)
+    cells = crowds.union(whole).withColumn("blocks", blocks)
+    cells = cells.withColumn("one", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    cells = cells.withColumn("other", other).select(
+        "key", "id", "value", F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")
+    )
+    cells = cells.join(large.select("key", "id", "lo", "hi", "near"), ["key", "id"])
+    return pairs.union(near_pairs(cells, ["key", "value", "one", "other"], least))
 
 
 def window_hashes(x: np.ndarray, tokens: int) -> np.ndarray:
@@ -278,7 +443,7 @@ def window_hashes(x: np.ndarray, tokens: int) -> np.ndarray:
 def exact_pairs(labelled: DataFrame, large: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """Pairs of members of ``large`` groups that have ``least`` words around the signature in common.
 
-    Each text is paired with the shortest one that has the same words, so there is at most one pair for
+    ``repeated_passages`` no longer uses it, as it leaves out passages with changes. Each text is paired with the shortest one that has the same words, so there is at most one pair for
     each word near a signature, however many texts have them, and each pair is a link.
     """
     tokens = least - SHINGLE + 1
@@ -419,10 +584,8 @@ def repeated_passages(
     documents each one names one other; all that verified links lead to, whichever are named, have the
     same ``passage``, where spans of a text that overlap by ``least`` words or more count as one.
 
-    Found by min-hash: a passage without changes always, one with few changes nearly always, unless all it has
-    unchanged lies in signatures with more than ``MEMBERS`` places: then only if it has ``least`` words without
-    a change or is next to or first in a group. A text
-    that is null or has fewer words has none. Repeated rows count as documents; of equal texts each names
+    Found by min-hash: a passage without changes always, one with few changes nearly always, in however many
+    texts its sentences are. A text that is null or has fewer words has none. Repeated rows count as documents; of equal texts each names
     the smallest id, which names the next. Null ids come as null. No rows give no rows.
     """
     named = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
