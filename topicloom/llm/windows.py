@@ -20,20 +20,20 @@ rare shingles or in cells, which leads to the same pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import IntegerType, IntegralType, LongType, StringType, StructField, StructType
 
 from topicloom.llm.blocks import pack, unpack
 from topicloom.llm.components import components
-from topicloom.llm.words import Words, distinct, mix, shingles, slices, words
+from topicloom.llm.words import Words, distinct, mix, shingles, slices, text_buffer, words
 from topicloom.operators.skew import skew_join
 from topicloom.session import saved, saved_at, scratch_path, scratch_scope
 
@@ -51,7 +51,13 @@ APART = 64  # share of a large group's pairs, its inverse, that may meet by rare
 FEW = 32  # members with a rare value that are paired at once; more are compared in cells
 SHARD_MEMBERS = 1 << 14  # of large groups
 COLUMNS = 1024  # shingles of a cell that are compared at once
-ROUNDS = 2  # in which pairs are verified, so that the texts of half of them are on disk at once
+CELL = 1 << 24  # words of pairs, with ``PAIR`` for each, that are verified in one cell
+PAIR = 1 << 10
+CELLS = 128  # shards of cells, at least
+SHARD_CELLS = 1 << 25  # words of pairs per shard beyond that
+COMPARED = 1 << 20  # shingles that are sought at once
+BUCKET = 1 << 15  # bits in one of Spark's bitmaps
+WANTED = 1 << 26  # bits of a bitmap of what is wanted, at most; 16 for each before
 _PLACE = np.uint64((1 << 20) - 1)
 
 
@@ -202,10 +208,9 @@ def remaining_pairs(members: DataFrame, places: DataFrame, texts: DataFrame, lea
     The rule is that of ``near_pairs`` whatever the size of a group. A group of more than ``MEMBERS`` texts is
     cut for it, see ``cut_pairs``: that bounds a task and decides nothing.
     """
-    known = places.groupBy("id", "low", "passage").agg(F.max("end").alias("high"))
     inside = (F.col("place") >= F.col("low")) & (F.col("place") + SHINGLE <= F.col("high"))
     labelled = (
-        members.join(known.withColumnRenamed("id", "of"), (F.col("id") == F.col("of")) & inside, "left")
+        members.join(places.withColumnRenamed("id", "of"), (F.col("id") == F.col("of")) & inside, "left")
         .groupBy("key", "id", "place")
         .agg(F.coalesce(F.min("passage"), F.xxhash64("id")).alias("label"))
         .groupBy("key", "id")
@@ -263,8 +268,8 @@ def surroundings(labelled: DataFrame, groups: DataFrame, texts: DataFrame, least
 
     names = [c.split()[0] for c in NEAR.split(", ")]
     own = labelled.join(groups, "key").groupBy("id")
-    own = own.agg(F.collect_list(F.struct("key", "lo", "hi", "count", "places")).alias("own"))
-    return own.join(texts, "id").mapInArrow(emit, NEAR)
+    own = saved(own.agg(F.collect_list(F.struct("key", "lo", "hi", "count", "places")).alias("own")), "passage_own")
+    return own.join(among(texts, "id", own, "id"), "id").mapInArrow(emit, NEAR)
 
 
 def needed(least: int) -> int:
@@ -272,33 +277,61 @@ def needed(least: int) -> int:
     return -(-8 * (least - SHINGLE + 1) // 9)
 
 
+def pairs_apart(
+    parts: list[np.ndarray], ids: np.ndarray, lo: np.ndarray, hi: np.ndarray, need: int
+) -> np.ndarray:
+    """Pairs of ids whose shingles have ``need`` in common on either side and which have not one label alone.
+
+    Members that only have the most common label are not compared with one another.
+    """
+    n = len(parts)
+    row = np.repeat(np.arange(n), [len(c) for c in parts])
+    at, values = pd.factorize(np.concatenate(parts))
+    at, count = at.astype(np.int64), len(values)
+    texts_with = np.bincount(distinct(at * n + row) // n, minlength=count)
+    both = texts_with[at] > 1
+    row, at, count = row[both], (np.cumsum(texts_with > 1) - 1)[at[both]], int((texts_with > 1).sum())
+    labels, times = np.unique(lo[lo == hi], return_counts=True)
+    rest = np.ones(n, bool)
+    if len(labels):
+        rest = (lo != hi) | (lo != labels[times.argmax()])
+    if 2 * rest.sum() >= n:
+        rest[:] = True
+    some = np.flatnonzero(rest)
+    here = np.zeros((len(some), n), np.float32)  # places of some members whose value another one has
+    there = here if len(some) == n else here.copy()  # places of the other one
+    for low in range(0, count, COLUMNS):
+        inside = (at >= low) & (at < low + COLUMNS)
+        width = min(COLUMNS, count - low)
+        times = np.bincount(row[inside] * width + at[inside] - low, minlength=n * width)
+        times = times.reshape(n, width).astype(np.float32)
+        has = (times > 0).astype(np.float32)
+        here += times[some] @ has.T
+        if len(some) < n:
+            there += has[some] @ times.T
+    if len(some) == n:
+        there = here.T
+    p, q = np.nonzero(np.minimum(here, there) >= need)
+    p = some[p]
+    once = (p < q) | ~rest[q]
+    p, q = p[once], q[once]
+    apart = (np.minimum(lo[p], lo[q]) != np.maximum(hi[p], hi[q])) & (ids[p] != ids[q])
+    return np.stack([ids[p[apart]], ids[q[apart]]], 1)
+
+
 def near_pairs(members: DataFrame, cell: list[str], least: int) -> DataFrame:
     """Pairs of one group's members in a cell that have enough shingles around the signature in common."""
     need = needed(least)
 
-    def compare(parts: list[np.ndarray], ids: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        n = len(parts)
-        row = np.repeat(np.arange(n), [len(c) for c in parts])
-        values, at = np.unique(np.concatenate(parts), return_inverse=True)
-        texts_with = np.bincount(np.unique(at * n + row) // n, minlength=len(values))
-        both = texts_with[at] > 1
-        row, at = row[both], (np.cumsum(texts_with > 1) - 1)[at[both]]
-        share = np.zeros((n, n), np.float32)
-        for low in range(0, int((texts_with > 1).sum()), COLUMNS):
-            here = (at >= low) & (at < low + COLUMNS)
-            times = np.bincount(row[here] * COLUMNS + at[here] - low, minlength=n * COLUMNS)
-            times = times.reshape(n, COLUMNS).astype(np.float32)
-            share += times @ (times > 0).astype(np.float32).T
-        p, q = np.nonzero(np.triu(np.minimum(share, share.T) >= need, 1))
-        apart = (np.minimum(lo[p], lo[q]) != np.maximum(hi[p], hi[q])) & (ids[p] != ids[q])
-        return np.stack([ids[p[apart]], ids[q[apart]]], 1)
-
     def all_groups(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("key")
         key, ids, lo, hi = (pdf[c].to_numpy().astype(np.int64) for c in ("key", "id", "lo", "hi"))
         parts = [np.frombuffer(c, np.uint32) for c in pdf["near"]]
         cut = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
-        found = [compare(parts[a:b], ids[a:b], lo[a:b], hi[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        found = [
+            pairs_apart(parts[a:b], ids[a:b], lo[a:b], hi[a:b], need)
+            for a, b in zip(cut[:-1], cut[1:], strict=True)
+        ]
         pairs = np.sort(np.concatenate(found).view(np.uint64), axis=1)  # as in candidate_pairs
         pairs = np.unique(pairs, axis=0).view(np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -415,14 +448,27 @@ def cut_pairs(large: DataFrame, least: int) -> DataFrame:
     pairs = met.where("size = 0").select("key", "a", "b").distinct().join(left, ["key", "a"])
     pairs = pairs.join(right, ["key", "b"]).where("least(lo, lo_b) != greatest(hi, hi_b)")
     pairs = pairs.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
-    crowds = met.where("size > 0").select("key", F.col("a").alias("id"), "value", "size")
+    crowds = met.where("size > 0").select("key", F.col("a").alias("id"), "value")
     whole = large.join(learned.where("rare"), "key", "left_anti")
-    whole = whole.select("key", "id", F.lit(0).cast("long").alias("value"), F.col("count").alias("size"))
-    blocks = F.ceil(2 * F.col("size") / MEMBERS)
-    cells = crowds.union(whole).withColumn("blocks", blocks)
-    cells = cells.withColumn("one", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    cells = cells.withColumn("other", other).select(
+    whole = whole.select("key", "id", F.lit(0).cast("long").alias("value"))
+    labels = large.where("lo = hi").groupBy("key", "lo").count().groupBy("key")
+    labels = labels.agg(F.max(F.struct("count", "lo")).getField("lo").alias("most"))
+    # Members that only have a group's most common label meet the others and not one another.
+    cells = crowds.union(whole).distinct().join(large.select("key", "id", "lo", "hi").distinct(), ["key", "id"])
+    cells = cells.join(labels, "key", "left")
+    rest = F.coalesce((F.col("lo") != F.col("most")) | (F.col("hi") != F.col("most")), F.lit(True))
+    cells = cells.select("key", "id", "value", rest.alias("rest"))
+    size = cells.groupBy("key", "value").agg(
+        F.count_if("rest").alias("rest_of"), F.count_if(~F.col("rest")).alias("most_of")
+    )
+    rest_of, most_of = (F.ceil(2 * F.col(c) / MEMBERS) for c in ("rest_of", "most_of"))
+    cells = cells.join(size, ["key", "value"]).withColumns({"rest_of": rest_of, "most_of": most_of})
+    cells = cells.where("rest_of > 0")
+    block = F.when(F.col("rest"), F.pmod(F.xxhash64("id"), F.col("rest_of")))
+    block = block.otherwise(F.col("rest_of") + F.pmod(F.xxhash64("id"), F.col("most_of")))
+    upto = F.col("rest_of") + F.when(F.col("rest"), F.col("most_of")).otherwise(0) - 1
+    cells = cells.withColumn("one", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), upto)))
+    cells = cells.select(
         "key", "id", "value", F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other")
     )
     cells = cells.join(large.select("key", "id", "lo", "hi", "near"), ["key", "id"])
@@ -486,91 +532,257 @@ def is_among(x: np.ndarray, rising: np.ndarray) -> np.ndarray:
     return rising[np.minimum(np.searchsorted(rising, x), len(rising) - 1)] == x
 
 
-def common_stretches(x: np.ndarray, other: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Stretches of ``x`` of at least ``least`` tokens of which eight ninths are among ``other``'s.
+def stretches(there: np.ndarray, cut: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of at least ``least`` tokens of which eight ninths are ``there``: the text's row, start and end.
 
-    With as many tokens on the other side that is a Jaccard similarity of 0.8. They begin and end with
-    a token that is there, and none lies in a longer one; two may overlap. ``other`` is sorted.
+    The texts lie behind one another, bounded by ``cut``. Stretches begin and end with a token that is there,
+    and none lies in a longer one; two may overlap.
     """
-    there = is_among(x, other)
-    if there.sum() * 9 < least * 8:
-        return []
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], there.astype(np.int8), [0]])))
-    start, end = edges[::2], edges[1::2]
+    size = np.diff(cut)
+    before, behind = np.zeros_like(there), np.zeros_like(there)
+    before[1:], behind[:-1] = there[:-1], there[1:]
+    before[cut[:-1][size > 0]] = behind[cut[1:][size > 0] - 1] = False
+    start, end = np.flatnonzero(there & ~before), np.flatnonzero(there & ~behind) + 1
+    if not len(start):
+        return start, start, end
+    row = np.searchsorted(cut, start, "right") - 1
+    new = np.append(True, row[1:] != row[:-1])
     inside = np.cumsum(end - start)
     after = 9 * inside - 8 * end  # the share is enough from one run to another if this does not fall
     before = 9 * (inside - (end - start)) - 8 * start
-    most = np.maximum.accumulate(after[::-1])
-    reach = len(after) - 1 - np.searchsorted(most, before)  # the last run that is enough
+    # Of a text before another all are larger, so that one search does for all texts.
+    apart = (row[-1] - row) * (18 * int(size.max()) + 1) - before[new][np.cumsum(new) - 1]
+    most = np.maximum.accumulate((after + apart)[::-1])
+    reach = len(after) - 1 - np.searchsorted(most, before + apart)  # the last run that is enough
     longest = np.append(True, reach[1:] > np.maximum.accumulate(reach)[:-1])
-    start, end = start[longest], end[reach[longest]]
+    row, start, end = row[longest], start[longest], end[reach[longest]]
     enough = end - start >= least
-    return list(zip(start[enough].tolist(), end[enough].tolist(), strict=True))
+    row, start, end = row[enough], start[enough], end[enough]
+    return row, start - cut[row], end - cut[row]
+
+
+def common_stretches(x: np.ndarray, other: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Stretches of ``x`` of at least ``least`` tokens of which eight ninths are among ``other``'s.
 
+    With as many tokens on the other side that is a Jaccard similarity of 0.8. ``other`` is sorted.
+    """
+    _, start, end = stretches(is_among(x, other), np.array([0, len(x)]), least)
+    return list(zip(start.tolist(), end.tolist(), strict=True))
 
-SPAN = "a bigint, b bigint, a_start int, a_end int, b_start int, b_end int"
 
+def roots(count: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """For each of ``count`` places the first one that the links ``p`` to ``q`` lead to."""
+    root = np.arange(count)
+    while len(p):
+        np.minimum.at(root, np.maximum(p, q), np.minimum(p, q))
+        while (root[root] != root).any():
+            root = root[root]
+        p, q = root[p], root[q]
+        p, q = p[p != q], q[p != q]
+    return root
 
-def verified_spans(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
-    """Spans in words of the passages that two texts share, from both sides.
 
-    ``texts`` has the id and ``x``, the shingles in order as 32-bit hashes; a passage needs the hashes of
-    eight ninths of its shingles to agree.
-    """
-    tokens = least - SHINGLE + 1
+def shared_spans(code: np.ndarray, cut: np.ndarray, a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
+    """Rows ``a``, ``start``, ``end``, ``b``, ``start``, ``end``: the passages that pairs of texts share.
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    For each stretch of ``b`` whose tokens are nearly all in ``a`` the stretches of ``a`` whose tokens are
+    nearly all in that.
+    """
+    size, marks, mark = np.diff(cut), np.zeros(int(code.max(initial=-1)) + 1, np.int64), 0
+    texts = [code[p:q] for p, q in zip(cut[:-1], cut[1:], strict=True)]
+
+    def sought(own: np.ndarray, among: Iterator[np.ndarray | None]) -> tuple[np.ndarray, ...]:
+        """The stretches of ``own`` texts among tokens; None for those of the text before."""
+        nonlocal mark
+        bounds = np.append(0, np.cumsum(size[own]))
+        there = np.empty(bounds[-1], bool)
+        for text, other, p, q in zip(own.tolist(), among, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if other is not None:
+                mark += 1
+                marks[other] = mark
+            np.equal(marks[texts[text]], mark, out=there[p:q])
+        return stretches(there, bounds, least)
+
+    def parts(own: np.ndarray) -> Iterator[tuple[int, int]]:
+        at = (np.cumsum(size[own]) - size[own]) // COMPARED
+        edge = np.flatnonzero(np.diff(at, prepend=-1, append=-1))
+        yield from zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)
+
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    found = [np.zeros((6, 0), np.int64)]
+    for low, high in parts(b):
+        new = np.append(True, a[low + 1 : high] != a[low : high - 1])
+        among = (texts[k] if n else None for k, n in zip(a[low:high].tolist(), new.tolist(), strict=True))
+        row, start, end = sought(b[low:high], among)
+        x, y = a[low:high][row], b[low:high][row]
+        for first, last in parts(x):
+            ends = zip(y[first:last].tolist(), start[first:last].tolist(), end[first:last].tolist(), strict=True)
+            back, u, v = sought(x[first:last], (texts[k][p:q] for k, p, q in ends))
+            back += first
+            found.append(np.stack([x[back], u, v + SHINGLE - 1, y[back], start[back], end[back] + SHINGLE - 1]))
+    return np.concatenate(found, axis=1)
+
+
+def among(
+    rows: DataFrame, name: str, wanted: DataFrame, wanted_name: str,
+    then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter, schema: StructType | None = None,
+) -> DataFrame:
+    """``rows`` without most of those whose column ``name`` is not in ``wanted``'s, for a join of both.
+
+    What is wanted is sent to all tasks as a bitmap of bounded size, so that the other rows stay where they
+    are. Some others fall on the same bits and meet nothing in the join. ``then`` makes rows of ``schema`` of what
+    is left in the same Python worker, as another one for each task would take memory of its own.
+    """
+    size = BUCKET
+    while size < min(WANTED, 16 * wanted.count()):
+        size *= 2
+    place = F.pmod(F.xxhash64(wanted_name), F.lit(size)) + 1
+    bits = wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+    bits = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    table = np.zeros((size // BUCKET, BUCKET // 8), np.uint8)
+    for row in bits:
+        table[row.bucket - 1] = np.frombuffer(bytes(row.bits), np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(table.ravel())
+
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value
         for batch in batches:
-            known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            out = []
-            pairs = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
-            for row, (a, b) in enumerate(pairs):
-                if a not in known:  # rows come with equal a together
-                    x = np.frombuffer(batch.column("x_a")[row].as_buffer(), np.uint32)
-                    known = {a: (x, distinct(x))}
-                x, rising = known[a]
-                y = np.frombuffer(batch.column("x_b")[row].as_buffer(), np.uint32)
-                for p, q in common_stretches(y, rising, tokens):
-                    back = common_stretches(x, distinct(y[p:q]), tokens)
-                    for u, v in back:
-                        out.append((a, b, u, v + SHINGLE - 1, p, q + SHINGLE - 1))
-            if out:
-                kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
-                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                names = [c.split()[0] for c in SPAN.split(", ")]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    left = texts.select(F.col("id").alias("a"), F.col("x").alias("x_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("x").alias("x_b"))
-    return pairs.join(right, "b").join(left, "a").mapInArrow(compare, SPAN)
-
-
-def passage_places(spans: DataFrame, least: int) -> DataFrame:
-    """The distinct spans of each text (``id``, ``start``, ``end``) with the ``passage`` they belong to.
-
-    Spans of a text that overlap by ``least`` words or more are one place (``low`` to ``high``): what they
-    share is a passage of its own. A passage is what verified links between places lead to, named by a
-    64-bit hash.
+            at = batch.column("_at").to_numpy()
+            there = bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1
+            yield batch.drop_columns(["_at"]).filter(pa.array(there.astype(bool)))
+
+    at = F.pmod(F.xxhash64(name), F.lit(size))
+    return rows.withColumn("_at", at).mapInArrow(lambda batches: then(left(batches)), schema or rows.schema)
+
+
+def dealt_pairs(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``pairs`` with the ``shard`` in which they are verified and ``near``, a text that they are near to.
+
+    Pairs around the same text come together, so that a text is sent once and not with each of its pairs.
+    Many are cut into cells of two blocks of texts. ``sizes`` has each text's ``id`` and ``n`` words.
+    """
+    ends = pairs.select(F.col("a").alias("id"), F.col("b").alias("to")).union(pairs.select("b", "a"))
+    near = ends.groupBy("id").agg(F.least("id", F.min("to")).alias("near"))
+    near = ends.join(near.withColumnRenamed("id", "to"), "to").groupBy("id").agg(F.min("near").alias("near"))
+    for _ in range(2):
+        near = saved(near, "passage_near")
+        further = near.select(F.col("id").alias("near"), F.col("near").alias("further"))
+        near = near.join(further, "near").select("id", F.least("near", "further").alias("near"))
+    near = near.join(sizes, "id")
+    dealt = pairs.join(near.withColumnsRenamed({"id": "a", "n": "n_a"}), "a")
+    dealt = dealt.join(sizes.withColumnsRenamed({"id": "b", "n": "n_b"}), "b")
+    weight = (F.col("n_a") + F.col("n_b") + PAIR).cast("long").alias("weight")
+    dealt = saved(dealt.select("a", "b", "near", weight), "passage_dealt")
+    total = dealt.agg(F.sum("weight")).first()[0] or 0
+    shards = max(CELLS, -(-total // SHARD_CELLS))
+    cell = max(CELL, total // 512)
+    many = dealt.groupBy("near").agg(F.sum("weight").alias("sum")).where(F.col("sum") > cell)
+    many = many.select("near", F.ceil(F.sqrt(2 * F.col("sum") / cell)).alias("blocks"))  # one in a cell's weight
+    blocks = F.coalesce("blocks", F.lit(1).cast("long"))  # of neighbouring ids, as candidate_pairs pairs neighbours
+    one, other = (F.shiftright((F.shiftright(c, 32) + (1 << 31)) * blocks, 32) for c in "ab")
+    shard = F.pmod(F.xxhash64("near", F.least(one, other), F.greatest(one, other)), F.lit(shards))
+    dealt = dealt.join(F.broadcast(many), "near", "left").select(shard.alias("shard"), "near", "a", "b")
+    return saved(dealt, "passage_cells")
+
+
+def verified_spans(pairs: DataFrame, texts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """Spans in words of the passages that pairs of texts share, from both sides.
+
+    ``texts`` has the ``id``, ``like_id`` and ``x``, the shingles in order as 32-bit hashes; a passage needs the
+    hashes of eight ninths of its shingles to agree. ``reps`` has each ``id``'s ``rep``, the ``like_id`` that counts,
+    and ``n`` words. A row per span of a text (``id``, ``start``, ``end``) and task
+    with the least other one (``like_id``, ``like_start``, ``like_end``); of ids that Arrow may order in another
+    way than Spark, a row per other one. Verified links lead from each place (spans that overlap by ``least``
+    words or more) to all with the same ``joined``, a 64-bit hash that stands in one row of a place.
+    """
+    kind = texts.schema["like_id"].dataType
+    ordered = isinstance(kind, IntegralType) or kind == StringType()
+    names = ["id", "start", "end", "like_id", "like_start", "like_end", "joined"]
+
+    def compare(texts: pa.Table, pairs: pa.Table) -> pa.Table:
+        ids, near = (texts.column(c).to_numpy() for c in ("id", "near"))
+        _, row = np.unique(ids, return_index=True)  # rows of a table may repeat
+        texts = texts.take(row[np.argsort(near[row], kind="stable")])
+        ids = texts.column("id").to_numpy()
+        rising = np.argsort(ids)
+        ends = [pairs.column(c).to_numpy() for c in "ab"]
+        there = np.logical_and(*(is_among(c, ids[rising]) for c in ends))
+        a, b = (rising[np.searchsorted(ids[rising], c[there])] for c in ends)
+        data, offsets = text_buffer(texts.column("x"))
+        cut = offsets // 4
+        code, _ = pd.factorize(data.view(np.uint32))  # in the order in which they first come, so near texts' are near
+        found = shared_spans(code, cut, a, b, least - SHINGLE + 1)
+        text, start, end, other, like_start, like_end = np.concatenate([found, found[[3, 4, 5, 0, 1, 2]]], axis=1)
+        by = other
+        if ordered:
+            by = pc.rank(texts.column("like_id").combine_chunks(), null_placement="at_start", tiebreaker="dense")
+            by = by.to_numpy().astype(np.int64)[other]
+        order = np.lexsort((like_end, like_start, by, end, start, text))
+        at = np.empty(len(order), np.int64)
+        at[order] = np.arange(len(order))
+        text, start, end, other, like_start, like_end = (
+            c[order] for c in (text, start, end, other, like_start, like_end)
+        )
+        least_of = np.ones(len(order), bool)
+        least_of[1:] = (text[1:] != text[:-1]) | (start[1:] != start[:-1]) | (end[1:] != end[:-1])
+        step = int(end.max(initial=0)) + 1  # spans of a text before are below those of a text
+        before = np.append(-1, np.maximum.accumulate(end + text * step)[:-1])[: len(order)]
+        new = start + text * step > before - least
+        place, first = np.cumsum(new) - 1, np.flatnonzero(new)
+        root = first[roots(len(first), *place[at].reshape(2, -1))]
+        joined = mix(ids[text[root]].view(np.uint64) ^ mix(((start[root] << 32) + end[root]).view(np.uint64)))
+        marked = np.zeros(len(order), np.int64)
+        marked[first] = joined.view(np.int64)
+        keep = np.flatnonzero(least_of) if ordered else np.arange(len(order))
+        other = texts.column("like_id").take(pa.array(other[keep]))
+        columns = [
+            pa.array(ids[text[keep]]), *(pa.array(c[keep].astype(np.int32)) for c in (start, end)), other,
+            *(pa.array(c[keep].astype(np.int32)) for c in (like_start, like_end)),
+            pa.array(marked[keep], mask=~new[keep]),
+        ]
+        return pa.table(columns, names)
+
+    dealt = dealt_pairs(pairs, reps.select("id", "n"))
+    both = dealt.select("shard", "near", F.col("a").alias("id")).union(dealt.select("shard", "near", "b"))
+    sent = both.groupBy(F.col("shard").alias("to"), "id").agg(F.min("near").alias("near"))
+    sent = sent.join(reps.select("id", "rep"), "id").withColumnRenamed("id", "of")
+    sent = sent.join(texts, (F.col("of") == F.col("id")) & F.col("rep").eqNullSafe(F.col("like_id")))
+    sent = sent.select("to", "id", "near", "like_id", "x")
+    schema = StructType(
+        [
+            StructField("id", LongType()), StructField("start", IntegerType()), StructField("end", IntegerType()),
+            StructField("like_id", kind), StructField("like_start", IntegerType()),
+            StructField("like_end", IntegerType()), StructField("joined", LongType()),
+        ]
+    )
+    return sent.groupBy("to").cogroup(dealt.groupBy("shard")).applyInArrow(compare, schema)
+
+
+def placed(spans: DataFrame, least: int) -> DataFrame:
+    """``spans`` with their ``place`` in the text, a 64-bit hash, and ``low``, where it begins.
+
+    Spans of a text that overlap by ``least`` words or more are one place: what they share is a passage of
+    its own.
     """
-    ends = spans.select(F.col("b").alias("id"), F.col("b_start").alias("start"), F.col("b_end").alias("end"))
-    ends = ends.union(spans.select("a", "a_start", "a_end")).distinct()
     order = Window.partitionBy("id").orderBy("start", "end")  # no more of a text than fit into it
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = before.isNull() | (F.col("start") > before - least)
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     low = F.max(F.when(F.col("new"), F.col("start"))).over(upto)
-    ends = ends.withColumn("new", new).withColumn("low", low).drop("new")
-    ends = saved(ends.withColumn("place", F.xxhash64("id", "low")), "passage_ends")
-    from_a, from_b = (
-        ends.select(
-            F.col("id").alias(c), F.col("start").alias(f"{c}_start"), F.col("end").alias(f"{c}_end"),
-            F.col("place").alias(f"{c}_place"),
-        ) for c in "ab"
-    )
-    links = spans.join(from_a, ["a", "a_start", "a_end"]).join(from_b, ["b", "b_start", "b_end"])
-    labels = components(links.select("a_place", "b_place").distinct(), "a_place", "b_place")
-    labels = labels.select(F.col("vertex").alias("place"), F.col("label").alias("passage"))
-    return saved(ends.join(labels, "place").select("id", "start", "end", "low", "passage"), "passage_places")
+    spans = spans.withColumn("new", new).withColumn("low", low).drop("new")
+    return spans.withColumn("place", F.xxhash64("id", "low"))
+
+
+def passages(places: DataFrame) -> DataFrame:
+    """The ``passage`` of each ``place``: what verified links between places lead to, named by a 64-bit hash.
+
+    ``places`` has lists of what ``verified_spans`` calls ``joined``.
+    """
+    links = saved(places.select("place", F.explode("joined").alias("joined")).distinct(), "passage_joined")
+    to = links.groupBy("joined").agg(F.min("place").alias("to"))
+    labels = components(links.join(to, "joined").select("place", "to"), "place", "to")
+    return labels.select(F.col("vertex").alias("place"), F.col("label").alias("passage"))
 
 
 def repeated_passages(
@@ -593,13 +805,14 @@ def repeated_passages(
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                x, doc, _ = shingles(words(part.column("text")), SHINGLE)
+                found = words(part.column("text"))
+                x, doc, _ = shingles(found, SHINGLE)
                 x = (x >> np.uint64(32)).astype(np.uint32)
                 cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 rows = [x[p:q].tobytes() for p, q in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(rows, pa.binary())], ["id", "x"]
-                )
+                ids = np.frombuffer(b"".join(t[:8] for t in text_ids(found)), np.int64)
+                columns = [part.column("_id"), pa.array(ids), pa.array(rows, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["like_id", "id", "x"])
 
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     shards = max(SHARDS, -(-size // SHARD_BYTES))
@@ -617,31 +830,32 @@ def repeated_passages(
     )
     pairs = saved(met.where("place < 0").select("a", "b").distinct(), "passage_pairs")
     involved = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    reps = classes.join(involved, "id").select("rep", "id")
-    texts = named.join(reps, F.col("_id").eqNullSafe(F.col("rep"))).select("id", "text")
-    bodies = saved(texts.mapInArrow(sequences, "id bigint, x binary"), "passage_bodies")
-    turn = F.pmod(F.xxhash64("a", "b"), F.lit(ROUNDS))
-    parts = [
-        saved(verified_spans(pairs.where(turn == k), bodies, least), "passage_spans") for k in range(ROUNDS)
-    ]
-    spans = reduce(DataFrame.union, parts)
+    reps = classes.groupBy("id").agg(F.min("rep").alias("rep"), F.max("n").alias("n")).join(involved, "id")
+    reps = saved(reps, "passage_reps")
+    kept = StructType([StructField("like_id", named.schema["_id"].dataType)]).add("id", "long").add("x", "binary")
+    bodies = saved(among(named, "_id", reps, "rep", sequences, kept), "passage_bodies")
+    spans = saved(verified_spans(pairs, bodies, reps, least), "passage_spans")
+    places = placed(spans, least).groupBy("id", "low", "place").agg(
+        F.max("end").alias("high"), F.collect_set("joined").alias("joined")
+    )
+    places = saved(places, "passage_places")
+    known = places.select("id", "low", "high", "place").join(passages(places), "place")
     groups = met.where("place >= 0").select(F.col("a").alias("id"), F.col("b").alias("key"), "place")
-    rest = remaining_pairs(groups, passage_places(spans, least), bodies, least)
+    rest = remaining_pairs(groups, known.drop("place"), bodies, least)
     rest = saved(rest.join(pairs, ["a", "b"], "left_anti"), "passage_rest")
-    spans = spans.union(saved(verified_spans(rest, bodies, least), "passage_rest_spans"))
-    sides = spans.select(
-        F.col("b").alias("id"), F.col("b_start").alias("start"), F.col("b_end").alias("end"),
-        F.col("a").alias("other"), F.col("a_start").alias("like_start"), F.col("a_end").alias("like_end"),
-    ).union(spans.select("a", "a_start", "a_end", "b", "b_start", "b_end"))
-    names = classes.groupBy("id").agg(F.min("rep").alias("like_id"))
-    one = (
-        sides.join(names.withColumnRenamed("id", "other"), "other")
-        .groupBy("id", "start", "end")
-        .agg(F.min(F.struct("like_id", "like_start", "like_end")).alias("like"))
-        .select("id", "start", "end", "like.*", F.lit(False).alias("whole"))
-        .join(passage_places(spans, least).drop("low"), ["id", "start", "end"])
+    ends = rest.select(F.col("a").alias("id")).union(rest.select("b")).distinct()
+    some = among(bodies, "id", ends, "id")
+    spans = spans.union(saved(verified_spans(rest, some, reps, least), "passage_rest_spans"))
+    one = placed(spans, least).groupBy("id", "start", "end").agg(
+        F.min(F.struct("like_id", "like_start", "like_end")).alias("like"),
+        F.max("place").alias("place"), F.collect_set("joined").alias("joined"),
+    )
+    one = saved(one, "passage_ends")
+    one = one.select("id", "start", "end", "like.*", F.lit(False).alias("whole"), "place").join(
+        passages(one), "place"
     )
-    found = members.select("_id", "id").join(saved(one, "passage_sides"), "id").drop("id")
+    one = one.drop("place")
+    found = members.select("_id", "id").join(one, "id").drop("id")
     copies = classes.where("copies > 1").select("key", "rep", "last")
     other = F.when(F.col("_id").eqNullSafe(F.col("rep")), F.col("last")).otherwise(F.col("rep"))
     equal = members.join(copies, "key").select(
